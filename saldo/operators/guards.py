@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from saldo.session import cut_lineage
+
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails if two rows share the key.
@@ -33,14 +35,23 @@ def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
 BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, source: DataFrame | None = None,
-                       rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast only after counting it; beyond the bound it is left to the
-    planner, which shuffles both sides and splits skewed partitions.
+def _fits(df: DataFrame, rows: int) -> bool:
+    """Count no further than the bound; no column is read."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a table for broadcast only after counting it; beyond the bound it is left to the planner,
+    which shuffles both sides and splits skewed partitions."""
+    return F.broadcast(df) if _fits(df, rows) else df
+
+
+def dimension(df: DataFrame, source: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A dimension for joins with a ledger. ``source`` is the table it has one row per row of.
 
-    ``source`` is a table with at least as many rows as ``df`` that is cheaper to count. The count
-    stops at the bound and reads no columns. Without the mark the size estimate of a derived
-    dimension (a product for joins) would have the whole ledger shuffled for a table of kilobytes.
+    When the source is within the bound, the dimension (with its joins and uniqueness guards) is
+    worked out once, stored as a reliable checkpoint and broadcast: the size estimate of a derived
+    table, a product for joins, would otherwise have the whole ledger shuffled for some kilobytes.
+    Beyond the bound it stays a plan, joined by shuffle.
     """
-    counted_rows = (df if source is None else source).limit(rows + 1).count()
-    return F.broadcast(df) if counted_rows <= rows else df
+    return F.broadcast(cut_lineage(df)) if _fits(source, rows) else df

@@ -4,39 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import Period, in_period
-from saldo.sources.folders import drop_partition, list_partitions
+from saldo.sources.folders import drop_partition, list_partitions, partition_files
 
 PERIOD_KEYS = ("year_v", "mnth", "comp_scala")
 
 
-def reload_period(df: DataFrame, path: str, period: Period,
+def overwrite_partitions(df: DataFrame, path: str) -> None:
+    """Replace the partitions that ``df`` has rows for when the job commits. The rebalance step makes
+    files of even size: small partitions go to one task each, a partition with a large share of the
+    rows is split over many."""
+    (df.hint("rebalance", *PERIOD_KEYS).write.partitionBy(*PERIOD_KEYS).mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
+def reload_period(df: DataFrame, path: str, period: Period | None = None,
                   companies: Sequence[str] | None = None) -> None:
-    """Replace the rows of a period, of all companies or of those named; a second run with the same
-    rows changes nothing.
+    """Replace the rows of a period (or of all), of all companies or of those named; a second run
+    with the same rows changes nothing.
 
-    Only partitions of ``df`` are overwritten, when the job commits; partitions of the period and
-    scope that have no rows any more are dropped after it. The rebalance step makes files of even
-    size: small partitions go to one task each, a partition with a large share of the rows to many.
+    Partitions of the period and scope that have no rows any more, seen by their files not having
+    been replaced, are dropped after the write.
     """
     spark = df.sparkSession
-    before = list_partitions(spark, path, PERIOD_KEYS)
-    written = Observation()
-    keys = F.collect_set(F.concat_ws("/", *[F.col(k).cast("string") for k in PERIOD_KEYS]))
-    (df.observe(written, keys.alias("partitions"))
-       .hint("rebalance", *PERIOD_KEYS).write.partitionBy(*PERIOD_KEYS).mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").parquet(path))
-    kept = set(written.get["partitions"])
-    for values in before:
-        in_scope = (
+    before = [
+        (values, partition_files(spark, path, values))
+        for values in list_partitions(spark, path, PERIOD_KEYS)
+        if period is None or (
             int(values["year_v"]) == period.year
             and (period.month is None or int(values["mnth"]) == period.month)
-            and (companies is None or values["comp_scala"] in companies)
         )
-        if in_scope and "/".join(values[k] for k in PERIOD_KEYS) not in kept:
+        if companies is None or values["comp_scala"] in companies
+    ]
+    overwrite_partitions(df, path)
+    for values, files in before:
+        if files and files == partition_files(spark, path, values):
             drop_partition(spark, path, values)
 
 

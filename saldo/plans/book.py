@@ -17,7 +17,7 @@ from saldo.functions.money import (
     MONEY, RATES_BOOK, cents, local_amount, measures, rounding_residual,
 )
 from saldo.functions.text import doc_key
-from saldo.operators.guards import broadcast_if_small
+from saldo.operators.guards import dimension
 from saldo.plans.postings import PERCENT, Posting, post, shaped, summed
 from saldo.plans.scope import Tables, chart, company_sets, customers, writeoff_map
 
@@ -149,16 +149,16 @@ class SalesBook:
 
     @cached_property
     def sets(self) -> DataFrame:
-        sets = company_sets(self.tables)
+        sets = dimension(company_sets(self.tables), self.tables["company_main"])
         return sets if self.company is None else sets.filter(F.col("comp_scala") == self.company)
 
     @cached_property
     def chart(self) -> DataFrame:
-        return broadcast_if_small(chart(self.tables), self.tables["plan_schetov"])
+        return dimension(chart(self.tables), self.tables["plan_schetov"])
 
     @cached_property
     def customers(self) -> DataFrame:
-        return broadcast_if_small(customers(self.tables), self.tables["organizations"])
+        return dimension(customers(self.tables), self.tables["organizations"])
 
     @cached_property
     def movements(self) -> DataFrame:

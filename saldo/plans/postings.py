@@ -83,4 +83,9 @@ def shaped(rows: DataFrame, columns: Sequence[str], types: dict[str, str]) -> Da
     ])
 
 
-__all__ = ["MONEY", "PERCENT", "Posting", "cents", "post", "shaped", "split", "summed", "typed_null"]
+def stored_schema(columns: Sequence[str], types: dict[str, str], *others: str) -> str:
+    """DDL of a stored book or ledger, for reading it back with the types it was written with."""
+    return ", ".join([*(f"{c} {types.get(c, 'string')}" for c in columns), *others])
+
+
+__all__ = ["MONEY", "PERCENT", "Posting", "cents", "post", "shaped", "split", "stored_schema", "summed", "typed_null"]

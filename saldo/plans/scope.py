@@ -67,13 +67,11 @@ def chart(tables: Tables) -> DataFrame:
     )
 
 
-def plan_of_scope(tables: Tables, scope: DataFrame) -> DataFrame:
-    """Accounts of all sets that companies of a master use, unique per master, year and account."""
-    sets = (
-        scope.join(company_sets(tables), "comp_scala").filter("chart_set is not null")
-        .select("master", "chart_set").distinct()
-    )
-    return require_unique(chart(tables).join(sets, "chart_set"), ["master", "year_v", "acc"])
+def plan_of_scope(tables: Tables, sets: DataFrame) -> DataFrame:
+    """Accounts of all sets that companies of a master use, unique per master, year and account.
+    ``sets`` holds the companies in scope with their master and example sets."""
+    used = sets.filter("chart_set is not null").select("master", "chart_set").distinct()
+    return require_unique(chart(tables).join(used, "chart_set"), ["master", "year_v", "acc"])
 
 
 def writeoff_map(tables: Tables) -> DataFrame:

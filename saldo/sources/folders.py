@@ -28,6 +28,12 @@ def list_partitions(spark: SparkSession, path: str, keys: Sequence[str]) -> list
     return sorted(found, key=lambda values: tuple(values.values()))
 
 
+def partition_files(spark: SparkSession, path: str, values: Mapping[str, str]) -> set[str]:
+    """Names of the files of one partition; every write gives its files new names."""
+    target, files = _path(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()], "*"]))
+    return {status.getPath().getName() for status in files.globStatus(target) or []}
+
+
 def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
     target, files = _path(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()]]))
     files.delete(target, True)
