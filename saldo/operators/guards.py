@@ -54,4 +54,4 @@ def dimension(df: DataFrame, source: DataFrame, rows: int = BROADCAST_ROWS) -> D
     table, a product for joins, would otherwise have the whole ledger shuffled for some kilobytes.
     Beyond the bound it stays a plan, joined by shuffle.
     """
-    return F.broadcast(cut_lineage(df)) if _fits(source, rows) else df
+    return F.broadcast(df) if _fits(source, rows) else df

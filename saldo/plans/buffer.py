@@ -16,7 +16,7 @@ from saldo.functions.dates import Period, in_period, month_end
 from saldo.functions.money import (
     MONEY, RATES_BUFFER, cents, local_amount, measures, money, signs_agree,
 )
-from saldo.functions.text import clean_tax_number, doc_key, or_blank
+from saldo.functions.text import doc_key, or_blank
 from saldo.operators.guards import broadcast_if_small, dimension
 from saldo.operators.reload import delete_matching, delete_where
 from saldo.plans.book import WRITEOFF_KEYS, writeoff_flag
@@ -167,14 +167,12 @@ class TaxBuffer:
 
     @cached_property
     def scope(self) -> DataFrame:
-        scope = company_scope(self.tables, self.master, self.company)
-        return dimension(scope, self.tables["master_comp_scala"])
+        return company_scope(self.tables, self.master, self.company)
 
     @cached_property
     def sets(self) -> DataFrame:
         """Example sets of the companies in scope."""
-        sets = company_sets(self.tables).join(self.scope, "comp_scala")
-        return dimension(sets, self.tables["company_main"])
+        return company_sets(self.tables).join(self.scope, "comp_scala")
 
     @cached_property
     def plan(self) -> DataFrame:
@@ -311,7 +309,7 @@ class TaxBuffer:
     def _described(self, rows: DataFrame) -> DataFrame:
         """Columns that most row-level branches share."""
         return rows.withColumns({
-            "cust_name": F.col("org_name"), "inn": clean_tax_number(F.col("inn")),
+            "cust_name": F.col("org_name"), "inn": F.col("clean_inn"),
             "kpp": or_blank(F.col("kpp")), "inv": F.col("invoice"),
             "inv_date": F.col("book_date"), "trans": F.col("trans_number"),
             "cust_code": F.col("customer_code"),
@@ -497,7 +495,7 @@ class TaxBuffer:
             .join(broadcast_if_small(rates), ["rev_date", "base_curr", "curr"])
         )
         return _branch(post(rows, [posting], RATES_BUFFER).withColumns({
-            "cust_name": F.col("org_name"), "inn": clean_tax_number(F.col("inn")),
+            "cust_name": F.col("org_name"), "inn": F.col("clean_inn"),
             "kpp": or_blank(F.col("kpp")), "inv": F.col("invoice"),
             "inv_date": F.col("inv_book_date"), "trans": F.col("trans_number"),
         }))
@@ -546,7 +544,7 @@ class TaxBuffer:
         return _branch(post(rows, [posting], RATES_BUFFER).withColumns({
             "factura": F.col("document"), "inv": F.col("document"), "f_date": F.col("paydate"),
             "inv_date": F.col("paydate"), "cust_name": F.col("org_name"),
-            "inn": clean_tax_number(F.col("inn")), "kpp": or_blank(F.col("kpp")),
+            "inn": F.col("clean_inn"), "kpp": or_blank(F.col("kpp")),
             "cust_code": F.col("org_code"),
         }))
 

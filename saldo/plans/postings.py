@@ -77,9 +77,8 @@ def typed_null(kind: str) -> Column:
 def shaped(rows: DataFrame, columns: Sequence[str], types: dict[str, str]) -> DataFrame:
     """Bring a branch to the column list and types of its book; text columns it lacks are NULL."""
     have = set(rows.columns)
-    return rows.select(*[
-        (F.col(c) if c in have else F.lit(None)).cast(types.get(c, "string")).alias(c)
-        for c in columns
+    return rows.selectExpr(*[
+        f"cast({c if c in have else 'null'} as {types.get(c, 'string')}) as {c}" for c in columns
     ])
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.functions.text import clean_tax_number
 from saldo.operators.guards import require_unique
 
 Tables = Mapping[str, DataFrame]
@@ -91,7 +92,7 @@ def customers(tables: Tables) -> DataFrame:
     """
     own = tables["organizations"].select(
         F.col("id_example").alias("customer_set"), "organization_id", "org_code", "org_name",
-        "inn", "kpp", "report_org_id",
+        "inn", clean_tax_number(F.col("inn")).alias("clean_inn"), "kpp", "report_org_id",
         (F.col("organization_id") != F.col("report_org_id")).alias("is_child"),
     )
     parent = tables["organizations"].select(

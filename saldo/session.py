@@ -18,6 +18,9 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# Fixed when the session starts: call-site capture costs several round trips to the JVM per column
+# expression while a plan is built.
+START_OPTIONS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,7 +35,7 @@ def build_session(app: str = "saldo", master: str | None = None, **options: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_OPTIONS, **options}.items():
+    for key, value in {**SQL_OPTIONS, **START_OPTIONS, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
