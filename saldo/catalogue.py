@@ -13,7 +13,7 @@ from saldo.functions.dates import Period
 from saldo.operators import balance, chains, dedup, guards, keys, lookup, pricing, ranking, reload
 from saldo.plans import scope, snapshots
 from saldo.plans.book import SalesBook, writeoff_flag
-from saldo.plans.buffer import OPERATIONS_COLUMNS, TaxBuffer, advance_wraps
+from saldo.plans.buffer import OPERATIONS_COLUMNS, TaxBuffer, advance_wraps, tax_buffer
 from saldo.session import configure, scratch_path
 from saldo.sources.demo_views import view_text
 from saldo.sources.plain import plain
@@ -323,18 +323,18 @@ def buf_flagged_grouped(t):
 
 @query
 def buf_publish(t):
-    return TaxBuffer(t).publish()
+    return tax_buffer(t)
 
 
 @query
 def buf_month(t):
     """One month of one master, all its companies."""
-    return TaxBuffer(t, MONTH, "31", "0").publish()
+    return tax_buffer(t, MONTH, "31", "0")
 
 
 @query
 def ledger_cleanup(t):
-    run = TaxBuffer(t)
+    run = TaxBuffer(t).stage()
     shown = ["comp_scala", "inv", "paydate", "acc", "trans", "fact_amt", "amount_loc"]
     return run.clean_ungrouped().select(*shown, F.lit("ungrouped").alias("ledger")).unionByName(
         run.clean_grouped().select(*shown, F.lit("grouped").alias("ledger"))

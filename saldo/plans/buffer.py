@@ -21,6 +21,7 @@ from saldo.operators.guards import broadcast_if_small, dimension
 from saldo.operators.reload import delete_matching, delete_where
 from saldo.plans.book import WRITEOFF_KEYS, writeoff_flag
 from saldo.plans.postings import PERCENT, Posting, post, shaped, summed
+from saldo.session import staged
 from saldo.plans.scope import (
     Tables, company_scope, company_sets, customers, plan_of_scope, writeoff_map,
 )
@@ -155,13 +156,27 @@ def advance_wraps(movements: DataFrame) -> DataFrame:
 
 
 class TaxBuffer:
-    """Ledgers and branches of one run. ``buffer``, ``wraps``, ``ungrouped`` and ``grouped`` may be
-    given as stored tables (see ``saldo.plans.month.run_month``); otherwise they are derived."""
+    """Ledgers and branches of one run.
+
+    A single branch is one lazy plan. For the whole book, ``stage()`` first writes what several
+    branches read (dimensions, buffer, ledgers) to the shared folder. A run on stored tables puts
+    them into ``stored`` (see ``saldo.plans.month.run_buffer``).
+    """
 
     def __init__(self, tables: Tables, period: Period | None = None, master: str | None = None,
-                 company: str | None = None, **stored: DataFrame) -> None:
-        self.tables, self.period, self.stored = tables, period, stored
-        self.master, self.company = master, company
+                 company: str | None = None) -> None:
+        self.tables, self.period, self.master, self.company = tables, period, master, company
+        self.stored: dict[str, DataFrame] = {}
+
+    def stage(self) -> "TaxBuffer":
+        for name in ("plan", "customers", "buffer", "wraps", "ungrouped", "grouped"):
+            if name not in self.stored:
+                derived = getattr(self, f"_{name}")()
+                self.__dict__[name] = self.stored[name] = staged(derived, name)
+        return self
+
+    def _get(self, name: str) -> DataFrame:
+        return self.stored[name] if name in self.stored else getattr(self, f"_{name}")()
 
     # ---- dimensions -------------------------------------------------------------------------
 
@@ -176,22 +191,31 @@ class TaxBuffer:
 
     @cached_property
     def plan(self) -> DataFrame:
-        return dimension(
-            plan_of_scope(self.tables, self.sets), self.tables["plan_schetov"]
-        )
+        if "plan" in self.stored:
+            return self.stored["plan"]
+        return dimension(self._plan(), self.tables["plan_schetov"])
+
+    def _plan(self) -> DataFrame:
+        return plan_of_scope(self.tables, self.sets)
 
     @cached_property
     def customers(self) -> DataFrame:
         """Customers of every master, with their parents of the same set."""
+        if "customers" in self.stored:
+            return self.stored["customers"]
+        return dimension(self._customers(), self.tables["organizations"])
+
+    def _customers(self) -> DataFrame:
         mine = customers(self.tables).withColumn("master", F.col("customer_set").cast("string"))
-        return dimension(mine.drop("customer_set"), self.tables["organizations"])
+        return mine.drop("customer_set")
 
     # ---- buffer and ledgers -----------------------------------------------------------------
 
     @cached_property
     def buffer(self) -> DataFrame:
-        if "buffer" in self.stored:
-            return self.stored["buffer"].filter(in_period(self.period, F.col("book_date")))
+        return self._get("buffer").filter(in_period(self.period, F.col("book_date")))
+
+    def _buffer(self) -> DataFrame:
         return operations_buffer(self.tables, self.period)
 
     @cached_property
@@ -211,7 +235,10 @@ class TaxBuffer:
 
     @cached_property
     def wraps(self) -> DataFrame:
-        return self.stored["wraps"] if "wraps" in self.stored else advance_wraps(self.movements)
+        return self._get("wraps")
+
+    def _wraps(self) -> DataFrame:
+        return advance_wraps(self.movements)
 
     def _with_flags(self, rows: DataFrame) -> DataFrame:
         """Mark accruals moved in billing and payments that were wrapped. Rows that cannot match
@@ -235,15 +262,19 @@ class TaxBuffer:
     def ungrouped(self) -> DataFrame:
         """Payment ledger of accounts that are not grouped, one row per movement. It takes the
         advances that the grouped ledger leaves out, so no movement is in both."""
-        if "ungrouped" in self.stored:
-            return self.stored["ungrouped"].filter(in_period(self.period, F.col("paydate")))
+        return self._get("ungrouped").filter(in_period(self.period, F.col("paydate")))
+
+    def _ungrouped(self) -> DataFrame:
+        return self._ungrouped_rows(self._with_flags(self.ledger))
+
+    def _ungrouped_rows(self, movements: DataFrame) -> DataFrame:
         day = F.col("book_date")
         posting = Posting(
             PAYMENTS, _ledger_advance() & ((F.col("auto_system") == 0) | (F.col("vat_code") == 0)),
             gross=_local(), inv_gross=_original(),
             fact_amt=cents(money(F.col("amount_org") * F.col("pay_rate"))),
         )
-        rows = post(self._with_flags(self.ledger), [posting], RATES_BUFFER)
+        rows = post(movements, [posting], RATES_BUFFER)
         return shaped(rows.withColumns({
             "factura": F.col("invoice"), "f_date": day, "paydate": day, "inv_date": day,
             "cust_name": F.col("org_name"), "inn": or_blank(F.col("inn"), " "),
@@ -256,8 +287,9 @@ class TaxBuffer:
         """Payment ledger of grouped accounts: per invoice for customers that are their own parent,
         per parent and month for child customers. Rows are summed per booking day, which the output
         does not show."""
-        if "grouped" in self.stored:
-            return self.stored["grouped"].filter(in_period(self.period, F.col("paydate")))
+        return self._get("grouped").filter(in_period(self.period, F.col("paydate")))
+
+    def _grouped(self) -> DataFrame:
         posting = Posting(
             GROUPED_PAYMENTS,
             _ledger_advance() & (F.col("auto_system") == 1) & (F.col("vat_code") != 0)
@@ -504,7 +536,9 @@ class TaxBuffer:
 
     def special(self) -> DataFrame:
         """Ledger payments that a feed marks as special, with the sign turned."""
-        rows = self.ungrouped.filter(in_period(self.period, F.col("f_date"))).join(
+        # the marks of the ledger play no part here, so an unstored ledger is built without them
+        ledger = self.ungrouped if "ungrouped" in self.stored else self._ungrouped_rows(self.ledger)
+        rows = ledger.filter(in_period(self.period, F.col("f_date"))).join(
             self.scope.select("comp_scala"), "comp_scala", "left_semi"
         )
         feed = self.tables["special_trans"].select(
@@ -589,4 +623,5 @@ class TaxBuffer:
 
 def tax_buffer(tables: Tables, period: Period | None = None, master: str | None = None,
                company: str | None = None) -> DataFrame:
-    return TaxBuffer(tables, period, master, company).publish()
+    """The whole book of a run, without storing the book itself."""
+    return TaxBuffer(tables, period, master, company).stage().publish()

@@ -15,6 +15,7 @@ from saldo.plans.buffer import (
 )
 from saldo.plans.postings import stored_schema
 from saldo.plans.scope import Tables
+from saldo.session import staged
 from saldo.sources.folders import drop_partition, exists
 
 BUFFER, WRAPS, UNGROUPED, GROUPED, BOOK = (
@@ -53,6 +54,8 @@ def run_buffer(spark: SparkSession, tables: Tables, out: str, period: Period | N
     run = TaxBuffer(tables, period, master, company)
     names = [row[0] for row in run.scope.select("comp_scala").collect()]
     in_scope = F.col("comp_scala").isin(names)
+    for name in ("plan", "customers"):
+        run.stored[name] = staged(getattr(run, f"_{name}")(), name)
 
     buffer = operations_buffer(tables, period).filter(in_scope)
     reload_period(buffer, at(BUFFER), period, names)
@@ -60,12 +63,12 @@ def run_buffer(spark: SparkSession, tables: Tables, out: str, period: Period | N
     reload_period(
         _dated(advance_wraps(run.movements), F.col("pay_date")), at(WRAPS), period, names
     )
-    run.stored["wraps"] = stored_table(spark, out, WRAPS).drop("year_v", "mnth")
+    run.stored["wraps"] = run.__dict__["wraps"] = stored_table(spark, out, WRAPS).drop("year_v", "mnth")
     for name in (UNGROUPED, GROUPED):
         ledger = name.removeprefix("ledger_")
-        reload_period(_dated(getattr(run, ledger), F.col("paydate")), at(name), period, names)
+        loaded = getattr(run, f"_{ledger}")()
+        reload_period(_dated(loaded, F.col("paydate")), at(name), period, names)
         # the branches below read the stored ledger, not the plan that filled it
-        delattr(run, ledger)
         run.stored[ledger] = stored_table(spark, out, name).filter(in_scope)
     day = F.coalesce("paydate", "inv_date")
     reload_period(_dated(run.publish(), day), at(BOOK), period, names)
@@ -84,7 +87,7 @@ def clean_ledgers(spark: SparkSession, tables: Tables, out: str,
         path, ledger = f"{out}/{name}", name.removeprefix("ledger_")
         rows = stored_table(spark, out, name)
         whole = TaxBuffer(tables, period)
-        setattr(whole, ledger, rows)  # all months, not only the period
+        whole.__dict__[ledger] = rows  # all months, not only the period
         left = getattr(whole, f"clean_{ledger}")()
         sized = lambda df, label: df.groupBy(*PERIOD_KEYS).agg(
             F.count(F.lit(1)).alias(label)

@@ -69,3 +69,13 @@ def cut_lineage(df):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def staged(df, name: str):
+    """Write an intermediate table to the shared folder and read it back. What follows starts from
+    files: it survives lost executors, reads only the columns it needs, and the planner knows the
+    real size, so a small table is broadcast and a large one is not."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -77,9 +77,13 @@ VIEWS = {
         select account_b, 1 as wo_type, '9' || account_b as wo_account, year_v, id_example
         from {plan_schetov} where advance = 1 and tax_rd = 1""",
     "exch_rates": """
-        select rate_date, '2' as src_curr, '1' as trg_curr,
-               cast(25 + day(rate_date) % 7 as decimal(9,4)) as rate
-        from (select distinct cast(l_shipdate as date) as rate_date from {lineitem}) d""",
+        select distinct cast(l_shipdate as date) as rate_date, '2' as src_curr, '1' as trg_curr,
+               cast(25 + day(l_shipdate) % 7 as decimal(9,4)) as rate
+        from {lineitem}
+        union all
+        select distinct cast(l_shipdate as date) as rate_date, '1' as src_curr, '1' as trg_curr,
+               cast(1 as decimal(9,4)) as rate
+        from {lineitem}""",
     # ---- invoices
     "invoices": """
         select o_orderkey as invoice_id, cast(o_orderkey as string) as invoice_number,
@@ -142,7 +146,8 @@ VIEWS = {
             where l_linestatus = 'F' and l_returnflag = 'A' and l_quantity > 30) m""",
     "inv_lib": """
         select comp_scala, invoice, min(account) as account, min(customer_code) as customer_code,
-               '2' as curr, min(book_date) as inv_book_date
+               case when min(pay_line) is null then '1' else '2' end as curr,
+               min(book_date) as inv_book_date
         from {operations} group by comp_scala, invoice""",
     # ---- feeds
     "writeoff_list": """
