@@ -149,7 +149,7 @@ class SalesBook:
 
     @cached_property
     def sets(self) -> DataFrame:
-        sets = company_sets(self.tables)
+        sets = dimension(company_sets(self.tables), self.tables["company_main"])
         return sets if self.company is None else sets.filter(F.col("comp_scala") == self.company)
 
     @cached_property
@@ -219,7 +219,10 @@ class SalesBook:
         )
         matched = rows.join(
             listed.filter(in_period(self.period, F.col("book_date"))), list(WRITEOFF_KEYS)
-        ).join(writeoff_map(self.tables), ["writeoff_set", "year_v", "acc", "wo_type"])
+        ).join(
+            dimension(writeoff_map(self.tables), self.tables["wo_accounts_map"]),
+            ["writeoff_set", "year_v", "acc", "wo_type"],
+        )
         return _book(post(self.with_invoice(matched), [_writeoffs()], RATES_BOOK))
 
     def grouped_payments(self) -> DataFrame:

@@ -121,7 +121,7 @@ def _ledger_advance() -> Column:
 def operations_buffer(tables: Tables, period: Period | None = None) -> DataFrame:
     """Movements of all companies with their invoice document, the credited invoice and the company
     it belongs to."""
-    companies = tables["company_main"]
+    companies = broadcast_if_small(tables["company_main"])
     invoices = tables["invoices"].select(
         F.col("invoice_number").alias("invoice"), "id_company", "factura_number",
         "invoice_no_cred", F.col("filial_no_cred"), F.col("book_date").alias("invoice_book_date"),
@@ -182,7 +182,8 @@ class TaxBuffer:
 
     @cached_property
     def scope(self) -> DataFrame:
-        return company_scope(self.tables, self.master, self.company)
+        scope = company_scope(self.tables, self.master, self.company)
+        return dimension(scope, self.tables["master_comp_scala"])
 
     @cached_property
     def sets(self) -> DataFrame:
@@ -510,7 +511,7 @@ class TaxBuffer:
             F.col("rate_date").alias("rev_date"), F.col("src_curr").alias("curr"),
             F.col("trg_curr").alias("base_curr"), F.col("rate").alias("pay_rate"),
         )
-        bases = self.tables["company_main"].select("comp_scala", "base_curr")
+        bases = broadcast_if_small(self.tables["company_main"].select("comp_scala", "base_curr"))
         posting = Posting(
             REVERSALS, (F.col("tax_pay") == 1) & _not_grouped(),
             gross=-_local(), inv_gross=-_original(),
@@ -523,7 +524,7 @@ class TaxBuffer:
             .join(invoices, ["comp_scala", "invoice"])
             .join(self.plan.drop("cur"), ["master", "year_v", "acc"])
             .join(self.customers, ["master", "org_code"])
-            .join(names, "curr")
+            .join(broadcast_if_small(names), "curr")
             .join(broadcast_if_small(rates), ["rev_date", "base_curr", "curr"])
         )
         return _branch(post(rows, [posting], RATES_BUFFER).withColumns({
