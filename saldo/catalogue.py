@@ -17,7 +17,7 @@ from saldo.plans.buffer import OPERATIONS_COLUMNS, TaxBuffer, advance_wraps, tax
 from saldo.session import configure, scratch_path
 from saldo.sources.demo_views import view_text
 from saldo.sources.plain import plain
-from saldo.sources.tables import DemoTables, read_sheet
+from saldo.sources.tables import DemoTables, read_sheet, trim_keys
 from saldo.streaming.snapshots import read_stream, stream_snapshots
 
 MONTH = Period(1996, 12)
@@ -491,11 +491,11 @@ def filters_and_sets(t):
         scope.company_sets(t).join(scope.company_scope(t, "31"), "comp_scala")
         .select(F.col("chart_set").alias("id_example")), "id_example", "left_semi",
     ).filter("tax_acr = 1").select(F.col("account_b").alias("account"))
-    loose = F.lower(F.rtrim(F.concat(F.col("comp_scala"), F.lit("  "))))
-    rows = t["operations"].filter(
+    blank = t["operations"].withColumn("account", F.concat("account", F.lit("  ")))
+    rows = trim_keys(blank, "account", ignore_case=True).filter(
         (F.col("amount_org") >= -50000) & (F.col("amount_org") < 50000)
         & (F.col("pay_line").isNull() | (F.col("pay_line") != 3))
-        & dates.in_period(Period(1996), F.col("book_date")) & (loose != "05")
+        & dates.in_period(Period(1996), F.col("book_date")) & (F.col("comp_scala") != "05")
     ).join(accounts, "account", "left_semi")
     return rows.groupBy("comp_scala", "account").agg(
         F.count("pay_line").alias("payments"), F.sum("amount_org").alias("Сумма"),

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from saldo.sources.demo_views import RAW_TABLES, VIEWS, view_text
@@ -16,6 +17,13 @@ def catalog_tables(spark: SparkSession, names: Mapping[str, str]) -> dict[str, D
     return {role: spark.table(name) for role, name in names.items()}
 
 
+def trim_keys(df: DataFrame, *columns: str, ignore_case: bool = False) -> DataFrame:
+    """Text keys without trailing blanks (and in lower case on request), done once on load, so that
+    joins compare them as the source database does and stay plain equalities."""
+    clean = {c: F.rtrim(c) for c in columns}
+    return df.withColumns({c: F.lower(v) if ignore_case else v for c, v in clean.items()})
+
+
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """Rows given in code, with declared types."""
     return spark.createDataFrame(list(rows), schema)
