@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.operators.guards import require_unique
-from saldo.session import cut_lineage
+from saldo.session import cut_lineage, staged
 
 
 def chain_of(edges: DataFrame, hops: int) -> DataFrame:
@@ -14,7 +14,8 @@ def chain_of(edges: DataFrame, hops: int) -> DataFrame:
     the number of such chains.
 
     Chains are counted backwards. Every step joins the edges to one row per card and sums again per
-    card, so neither side fans out, whatever the number of chains through a card.
+    card, so neither side fans out, whatever the number of chains through a card. The counts of a
+    step are staged, so that a card which very many edges lead to is split in the next join.
     """
     steps = edges.select(F.col("old_card").alias("card"), F.col("new_card").alias("next"), "dt")
     reach = None
@@ -22,7 +23,7 @@ def chain_of(edges: DataFrame, hops: int) -> DataFrame:
         if reach is None:
             counted = steps.withColumn("n", F.lit(1).cast("decimal(38,0)"))
         else:
-            ahead = reach.select(F.col("card").alias("next"), F.col("chains").alias("n"))
+            ahead = staged(reach, "reach").select(F.col("card").alias("next"), F.col("chains").alias("n"))
             counted = steps.join(ahead, "next")
         reach = counted.groupBy("card").agg(
             F.min("dt").alias("dt"), F.sum("n").cast("decimal(38,0)").alias("chains")

@@ -7,23 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from saldo.session import cut_lineage
-
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails if two rows share the key.
 
-    One aggregation on the key that keeps the row itself, so the guard needs no second pass and no
-    action of its own, and a key with very many copies is reduced on every task.
+    The keys alone are counted, combined on every task, in a branch that yields no row and raises on
+    the first repeated key. The rows themselves are not shuffled for the check, so a join that
+    follows still shuffles both its sides and AQE can split a hot key.
     """
-    others = [c for c in df.columns if c not in keys]
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     message = F.concat(F.lit(f"not unique on {', '.join(keys)}: "), shown)
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others]
+    repeated = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(False))
+        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
     )
-    alone = F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return grouped.filter(alone).select(*df.columns)
+    return df.unionByName(repeated)
 
 
 def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.session import staged
+
 
 def lookup(keys: DataFrame, dim: DataFrame, on: str, value: str, *, on_empty: str = "keep",
            default: str | None = None, on_many: str = "last",
@@ -24,7 +26,7 @@ def lookup(keys: DataFrame, dim: DataFrame, on: str, value: str, *, on_empty: st
     picked = (F.max_by(F.struct(value), F.struct(*order)) if on_many == "last"
               else F.first(F.struct(value)))
     found = dim.groupBy(on).agg(picked.alias("_picked"), F.count(F.lit(1)).alias("_rows"))
-    joined = keys.join(found, on, "left")
+    joined = keys.join(staged(found, "lookup"), on, "left")
     result = F.col(f"_picked.{value}")
     if on_empty == "keep":
         result = F.when(F.col("_rows").isNull(), F.lit(default)).otherwise(result)

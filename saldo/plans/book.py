@@ -19,6 +19,7 @@ from saldo.functions.money import (
 from saldo.functions.text import doc_key
 from saldo.operators.guards import dimension
 from saldo.plans.postings import PERCENT, Posting, post, shaped, summed
+from saldo.session import staged
 from saldo.plans.scope import Tables, chart, company_sets, customers, writeoff_map
 
 MEASURES = measures(RATES_BOOK)
@@ -70,6 +71,7 @@ def writeoff_flag(rows: DataFrame, writeoffs: DataFrame, name: str = "written_of
     listed = writeoffs.select(
         *[F.col(theirs).alias(ours) for ours, theirs in WRITEOFF_KEYS.items()], F.lit(True).alias(name)
     ).distinct()
+    listed = staged(listed, "writeoffs")
     return rows.join(listed, list(WRITEOFF_KEYS), "left").withColumn(
         name, F.coalesce(name, F.lit(False))
     )

@@ -244,10 +244,11 @@ class TaxBuffer:
     def _with_flags(self, rows: DataFrame) -> DataFrame:
         """Mark accruals moved in billing and payments that were wrapped. Rows that cannot match
         keep NULL; the marks never multiply rows."""
-        moved = self.tables["billing_moving"].select(
+        moved = staged(self.tables["billing_moving"].select(
             "comp_scala", "invoice", F.col("invoice").alias("invoice_billing_moving")
-        ).distinct()
-        wrapped = self.wraps.select(
+        ).distinct(), "moved")
+        wraps = self.wraps if "wraps" in self.stored else staged(self.wraps, "wraps")
+        wrapped = wraps.select(
             "comp_scala", "invoice", "pay_line", F.col("pay_date").alias("book_date"),
             F.col("invoice").alias("advance_wrap"),
         )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,12 +94,12 @@ def clean_ledgers(spark: SparkSession, tables: Tables, out: str,
             sized(rows, "before").join(sized(left, "after"), list(PERIOD_KEYS), "left")
             .filter("after is null or after < before").collect()
         )
-        kept = [row for row in shrunk if row["after"] is not None]
+        kept = [tuple(row[k] for k in PERIOD_KEYS) for row in shrunk if row["after"] is not None]
         if kept:
-            met = reduce(Column.__or__, [
-                reduce(Column.__and__, [F.col(k) == row[k] for k in PERIOD_KEYS]) for row in kept
-            ])
-            overwrite_partitions(left.filter(met), path)
+            # at most one row per partition of the ledger; its values prune the scan
+            parts = spark.createDataFrame(kept, rows.select(*PERIOD_KEYS).schema)
+            again = left.join(F.broadcast(parts), list(PERIOD_KEYS), "left_semi")
+            overwrite_partitions(again, path)
         for row in shrunk:
             if row["after"] is None:
                 drop_partition(spark, path, {k: row[k] for k in PERIOD_KEYS})

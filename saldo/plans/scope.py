@@ -47,10 +47,12 @@ def company_scope(tables: Tables, master: str | None = None,
 
 
 def chart(tables: Tables) -> DataFrame:
-    """Accounts with their VAT rate and currency, unique per set, year and account.
+    """Accounts with their VAT rate and currency, unique per set, year and account."""
+    return require_unique(_accounts(tables), ["chart_set", "year_v", "acc"])
 
-    An account without a known rate or currency stays, with NULL there (``cur_known`` says so).
-    """
+
+def _accounts(tables: Tables) -> DataFrame:
+    """An account without a known rate or currency stays, with NULL there (``cur_known`` says so)."""
     currency = tables["currency_list"].select(
         F.col("currency_code").alias("currency_id"), F.col("currency_name_rus").alias("cur"),
         F.col("currency_id").alias("cur_code"), F.lit(True).alias("cur_known"),
@@ -61,7 +63,7 @@ def chart(tables: Tables) -> DataFrame:
         "auto_system", F.col("purch_book").alias("pl"), "currency_id",
     )
     return (
-        require_unique(accounts, ["chart_set", "year_v", "acc"])
+        accounts
         .join(tables["vat_codes"].select("vat_code", F.col("vat_prc").alias("vat")),
               "vat_code", "left")
         .join(currency, "currency_id", "left")
@@ -72,7 +74,7 @@ def plan_of_scope(tables: Tables, sets: DataFrame) -> DataFrame:
     """Accounts of all sets that companies of a master use, unique per master, year and account.
     ``sets`` holds the companies in scope with their master and example sets."""
     used = sets.filter("chart_set is not null").select("master", "chart_set").distinct()
-    return require_unique(chart(tables).join(used, "chart_set"), ["master", "year_v", "acc"])
+    return require_unique(_accounts(tables).join(used, "chart_set"), ["master", "year_v", "acc"])
 
 
 def writeoff_map(tables: Tables) -> DataFrame:

@@ -148,3 +148,55 @@ def test_window_sees_days_not_movements(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert SQL_OPTIONS["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+@pytest.fixture
+def skew_visible(spark):
+    """Thresholds so low that the test data counts as skewed."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    yield
+    for key in low:
+        spark.conf.unset(key)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return physical(df)
+
+
+def test_hot_key_of_a_lookup_is_split(spark, skew_visible):
+    from saldo.operators import lookup
+    keys = skewed(spark).repartition(8)
+    dim = spark.range(997).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+    found = lookup.lookup(keys, dim, "k", "name", order=["name"])
+    assert "skew=true" in final_plan(found)
+    assert found.count() == 30000 and found.filter("name is null").count() == 0
+
+
+def test_hot_next_card_is_split(spark, skew_visible):
+    edges = spark.range(1, 30000).repartition(8).select(
+        F.col("id").alias("old_card"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") + 1 + F.col("id") % 2).alias("new_card"),
+        F.lit("2020-01-01").cast("date").alias("dt"))
+    assert "skew=true" in final_plan(chains.chain_of(edges, 2))
+
+
+def test_hot_parent_is_split(spark, skew_visible):
+    from saldo.plans import scope
+    people = spark.range(30000).repartition(8).select(
+        F.lit(31).alias("id_example"), F.col("id").alias("organization_id"),
+        F.col("id").cast("string").alias("org_code"), F.lit("n").alias("org_name"),
+        F.lit(None).cast("string").alias("inn"), F.lit(None).cast("string").alias("kpp"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("report_org_id"))
+    joined = scope.customers({"organizations": people})
+    assert "skew=true" in final_plan(joined)
+    assert joined.filter("parent_code = '7'").count() == 10001
