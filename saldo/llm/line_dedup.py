@@ -4,10 +4,10 @@ A line is dropped from a page if at least `min_pages` pages of its site hold it
 `ratio` of all pages of that site. Everything is DataFrame functions.
 
 Scale: a page counts a line once, and counts combine on the map side before (site, line) is shuffled,
-so neither a large site nor a very common line meets in one task. A line is known by two
-independent hashes (96 bits). The boilerplate lines of a site are at most (mean distinct lines of its
-pages) / `ratio`, which bounds the list that is joined to each page; pages stay whole in that join and
-are never taken apart and put together again.
+so neither a large site nor a very common line meets in one task. A line is known by a 64-bit hash, which
+only has to tell the few boilerplate lines of a site from its other lines. The boilerplate lines of a
+site are at most (mean distinct lines of its pages) / `ratio`, which bounds the list that is joined to
+each page; pages stay whole in that join and are never taken apart and put together again.
 
 Defined cases: a null text or a null site passes unchanged and is not counted. Lines are compared
 without blanks at both ends; blank lines are never counted or dropped. Repeated rows count as pages
@@ -27,8 +27,7 @@ SITE, LINES = "__site_of_page", "__boilerplate_of_site"
 
 
 def line_key(line: Column) -> Column:
-    trimmed = F.trim(line)
-    return F.struct(F.xxhash64(trimmed).alias("a"), F.hash(trimmed, F.lit(1)).alias("b"))
+    return F.xxhash64(F.trim(line))
 
 
 def boilerplate(
@@ -86,7 +85,9 @@ def html_lines(html: Column) -> Column:
 
 def op6_site_lines(pages: DataFrame) -> DataFrame:
     """Every page with its host, its text without boilerplate, and how many lines went."""
-    text = pages.select("page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text"))
+    text = staged(
+        pages.select("page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text")), "page-text"
+    )
     out = drop_site_lines(text, F.col("host"), "text", dropped="n_dropped")
     return out.select("page_id", "host", "text", F.col("n_dropped").cast("long").alias("n_dropped"))
 
