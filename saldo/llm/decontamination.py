@@ -225,16 +225,21 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int =
     return out
 
 
+def clean_texts(shared):
+    """Function of a series of texts: whether each holds no item of a broadcast block."""
+
+    def is_clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not x for x in alignments(texts, shared.value)], dtype=bool)
+
+    return is_clean
+
+
 def keep_clean(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents that hold no test item."""
     spark, out = documents.sparkSession, documents
     for block in blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(seeded(documents, block))
-
-        def is_clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not x for x in alignments(texts, shared.value)], dtype=bool)
-
-        out = out.where(F.pandas_udf(is_clean, "boolean")(F.col("text").cast("string")))
+        out = out.where(F.pandas_udf(clean_texts(shared), "boolean")(F.col("text").cast("string")))
     return out
 
 

@@ -10,7 +10,8 @@ crosses or ends at it. Each chunk yields a transfer matrix, the best weight from
 left end to each state at its right end; matrices are combined associatively along the text, the best
 state at every cut follows, and each chunk is backtraced on its own between its two states.
 Inside a chunk, no piece crosses a place whose two characters are never side by side in a piece (such as a
-word end before a blank): what lies between two such places is encoded once and remembered.
+word end before a blank). What lies between the first and the last such place does not depend on the states
+at the cuts, so the library encodes it; only the stretches beyond them are walked state by state.
 
 Scale: only giant texts are shuffled, a row for each chunk. Everything else is encoded where it is read.
 Matrices have at most some dozens of states a side, and a row's size bounds the chunks of a text. The
@@ -23,10 +24,8 @@ in a text reads back as a blank, as in the library. Repeated rows and null ids s
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,24 +40,11 @@ from saldo.session import staged
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
 CHUNK = 32768
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 BLANK = "▁"
 NEVER = -np.inf
 
 
-class Remembered(dict):
-    """Ids of pieces of text, computed when first asked for; emptied when it has grown large."""
-
-    def __init__(self, encode) -> None:
-        self.encode = encode
-
-    def __missing__(self, part: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[part] = ids = tuple(self.encode(part))
-        return ids
-
-
 class Pieces:
     """A vocabulary and what the scan needs from it."""
 
@@ -79,9 +65,7 @@ class Pieces:
         self.longest = max((len(p) for p in self.scores), default=1)
         self.pairs = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
         self.unknown_score = min((s for _, s in normal), default=0.0) - 10.0
-        by_word = all(BLANK not in p.lstrip(BLANK) for p in self.scores)
-        self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall if by_word else lambda text: [text]
-        self.known = Remembered(self.bare.encode)
+        self.known = lru_cache(REMEMBERED)(self.bare.encode)
         self.valid = lru_cache(REMEMBERED)(self._valid)
         self.compatible = lru_cache(REMEMBERED)(self._compatible)
 
@@ -90,7 +74,7 @@ class Pieces:
 
     def encode(self, escaped: str) -> list[int]:
         """Ids of a text whose ends are ends of pieces."""
-        return list(chain.from_iterable(map(self.known.__getitem__, self.split(escaped))))
+        return self.bare.encode(escaped)
 
     def _valid(self, part: str) -> bool:
         return len(part) == 1 or part in self.scores and (self.unigram or self.bare.encode(part, out_type=str) == [part])
@@ -99,7 +83,7 @@ class Pieces:
         """Whether merging the text of both gives these two again."""
         if self.unigram or a[-1] + b[0] not in self.pairs:
             return True
-        return self.bare.encode(a + b) == [*self.known[a], *self.known[b]]
+        return self.bare.encode(a + b) == [*self.known(a), *self.known(b)]
 
     def weight(self, part: str) -> float:
         return self.scores.get(part, self.unknown_score) if self.unigram else 0.0
@@ -203,11 +187,11 @@ class Chunk:
         final = self.text[self.high + b[0] : end] if b else None
         known = self.pieces.known
         if self.head is None:
-            return [i for x in self.path(before, before[0], end, final) for i in known[x]]
-        out = [i for x in self.path(before, before[0], self.head, None) for i in known[x]]
+            return [i for x in self.path(before, before[0], end, final) for i in known(x)]
+        out = [i for x in self.path(before, before[0], self.head, None) for i in known(x)]
         out += self.pieces.encode(self.text[self.head : self.tail])
         if b is not None:
-            out += [i for x in self.path((self.tail, ""), self.tail, end, final) for i in known[x]]
+            out += [i for x in self.path((self.tail, ""), self.tail, end, final) for i in known(x)]
         return out
 
 
@@ -271,7 +255,8 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
 
     def encode(texts: pd.Series) -> pd.Series:
         pieces = loaded(shared.value)
-        return pd.Series([None if x is None else np.array(pieces.encode(pieces.escaped(x)), np.int32) for x in texts])
+        found = iter(pieces.bare.encode([pieces.escaped(x) for x in texts if x is not None], num_threads=1))
+        return pd.Series([None if x is None else np.array(next(found), np.int32) for x in texts], dtype=object)
 
     direct = slim.where(~giant).withColumn("token_ids", F.pandas_udf(encode, "array<int>")(F.col("text")))
 
