@@ -26,9 +26,11 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +59,9 @@ class Pieces:
         if spec.trainer_spec.model_type not in (1, 2) or any(p.type == 4 for p in spec.pieces):
             raise ValueError("only unigram and byte-pair models without user-defined pieces are supported")
         self.prefix = BLANK if norm.add_dummy_prefix else ""
-        self.whole = sentencepiece.SentencePieceProcessor(model_proto=model)
+        # what a piece of each kind reads as: ordinary text, unknown, control, byte
+        kinds = {2: lambda p: " \u2047 ".encode(), 3: lambda p: b"", 5: lambda p: b"", 6: lambda p: bytes([int(p[1:-1], 16)])}
+        self.spelled = [kinds.get(p.type, lambda p: p.replace(BLANK, " ").encode())(p.piece) for p in spec.pieces]
         norm.add_dummy_prefix = False
         self.bare = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
         normal = [(p.piece, p.score) for p in spec.pieces if p.type == 1]
@@ -76,6 +80,11 @@ class Pieces:
         """Ids of a text whose ends are ends of pieces."""
         return self.bare.encode(escaped)
 
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids; bytes that are no UTF-8 become U+FFFD."""
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
+        return text.removeprefix(" ") if self.prefix else text
+
     def _valid(self, part: str) -> bool:
         return len(part) == 1 or part in self.scores and (self.unigram or self.bare.encode(part, out_type=str) == [part])
 
@@ -230,6 +239,14 @@ def cut(escaped: str, size: int, context: int) -> Iterator[tuple[int, int, str,
         yield i, total, escaped[start : high + context], low - start, high - start
 
 
+def list_array(rows: list[list[int] | None]) -> pa.Array:
+    """Arrow list column of lists of ids."""
+    sizes = np.array([0 if x is None else len(x) for x in rows], np.int64)
+    flat = np.fromiter(chain.from_iterable(x for x in rows if x), np.int32, int(sizes.sum()))
+    missing = pa.array([x is None for x in rows], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat, mask=missing)
+
+
 def read_model(path: str = MODEL) -> bytes:
     if os.path.getsize(path) > MODEL_BYTES:
         raise ValueError(f"{path} is larger than {MODEL_BYTES} bytes")
@@ -253,12 +270,12 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
     slim = documents.select(*keep, F.col("text").cast("string").alias("text"))
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk
 
-    def encode(texts: pd.Series) -> pd.Series:
-        pieces = loaded(shared.value)
-        found = iter(pieces.bare.encode([pieces.escaped(x) for x in texts if x is not None], num_threads=1))
-        return pd.Series([None if x is None else np.array(next(found), np.int32) for x in texts], dtype=object)
+    def encode(texts: pa.Array) -> pa.Array:
+        pieces, rows = loaded(shared.value), texts.to_pylist()
+        ids = iter(pieces.bare.encode([pieces.escaped(x) for x in rows if x is not None], num_threads=1))
+        return list_array([None if x is None else next(ids) for x in rows])
 
-    direct = slim.where(~giant).withColumn("token_ids", F.pandas_udf(encode, "array<int>")(F.col("text")))
+    direct = slim.where(~giant).withColumn("token_ids", F.arrow_udf(encode, "array<int>")(F.col("text")))
 
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = loaded(shared.value)
@@ -310,11 +327,13 @@ def decode_ids(spark: SparkSession, ids: Column, model: str = MODEL) -> Column:
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(read_model(model))
 
-    def decode(rows: pd.Series) -> pd.Series:
-        whole = loaded(shared.value).whole
-        return pd.Series([None if x is None else whole.decode(x.tolist()) for x in rows], dtype=object)
+    def decode(rows: pa.Array) -> pa.Array:
+        pieces, flat, at = loaded(shared.value), rows.values.to_numpy(), rows.offsets.to_pylist()
+        known = rows.is_valid().to_pylist()
+        texts = [pieces.decode(flat[a:b].tolist()) if ok else None for ok, a, b in zip(known, at[:-1], at[1:], strict=True)]
+        return pa.array(texts, pa.string())
 
-    return F.pandas_udf(decode, "string")(ids)
+    return F.arrow_udf(decode, "string")(ids)
 
 
 def op8_pieces(documents: DataFrame, model: str = MODEL) -> DataFrame:

@@ -176,4 +176,5 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     best = slim.groupBy("fp").agg(F.min("who").alias("who")).join(found, "fp", "left")
     first = best.groupBy(F.coalesce("class", "fp").alias("class")).agg(F.min("who").alias("who"))
     stay = staged(first.select(F.col("who.row").alias("__row")), "kept-rows")
-    return held.join(stay, "__row", "left_semi").select(*columns)
+    # as many rows as documents stay, so they are never broadcast
+    return held.join(stay.hint("merge"), "__row", "left_semi").select(*columns)
