@@ -12,6 +12,7 @@ from saldo.llm.language_id import op4_language
 from saldo.llm.line_dedup import OP6_SQL, op6_site_lines
 from saldo.llm.piece_scan import op8_pieces
 from saldo.llm.simhash import op7_simhash
+from saldo.llm.suffix_dedup import op5_suffix_array
 
 
 def over(function: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,6 +22,7 @@ def over(function: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": over(op4_language, "documents"),
+    "op5_suffix_array": over(op5_suffix_array, "documents"),
     "op6_site_lines": over(op6_site_lines, "pages"),
     "op7_simhash": over(op7_simhash, "documents"),
     "op8_pieces": over(op8_pieces, "documents"),
