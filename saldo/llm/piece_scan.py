@@ -275,7 +275,7 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
         ids = iter(pieces.bare.encode([pieces.escaped(x) for x in rows if x is not None], num_threads=1))
         return list_array([None if x is None else next(ids) for x in rows])
 
-    direct = slim.where(~giant).withColumn("token_ids", F.arrow_udf(encode, "array<int>")(F.col("text")))
+    direct = slim.where(~giant).withColumn("token_ids", F.arrow_udf(encode, "array<int>").asNondeterministic()(F.col("text")))
 
     def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = loaded(shared.value)

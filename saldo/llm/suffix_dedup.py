@@ -4,7 +4,7 @@ A byte of a text goes if it is covered by a string of SPAN bytes that also start
 doc_id. Strings are judged on the input. The steps:
 
 1. Texts are packed into shards of SHARD_BYTES. Texts longer than that are cut into overlapping pieces.
-2. Every string of SPAN bytes has an anchor: the least hash among its 16-byte substrings. Equal strings
+2. Every string of SPAN bytes has an anchor: the least hash among its GRAM-byte substrings. Equal strings
    have equal anchors, so only anchors that two shards or two documents share can hold a repeat. Shards
    exchange the distinct anchors they have (4 bytes each), and learn which are shared.
 3. Neighbouring strings with the same shared anchor form a segment. Segments are dealt out by
@@ -42,7 +42,7 @@ from saldo.llm.common import bound_batches
 from saldo.session import staged
 
 SPAN = 50
-GRAM = 16
+GRAM = 20
 SHARD_BYTES = 4 << 20
 SORT_BYTES = 2 << 20
 ANCHOR_BYTES = 32 << 20  # text whose anchors one bucket of step 2 compares
@@ -67,9 +67,12 @@ def anchors(data: np.ndarray) -> np.ndarray:
     """Anchor of the string of SPAN bytes from each place."""
     if len(data) < SPAN:
         return np.empty(0, np.uint64)
-    w = words8(data)
-    h = (w[:-8] * MIX[0]) ^ ((w[8:] * MIX[1]) >> np.uint64(7))
-    h ^= h >> np.uint64(29)
+    w, n = words8(data), len(data) - GRAM + 1
+    h = w[:n] * MIX[0]
+    for o in (*range(8, GRAM - 7, 8), GRAM - 8):
+        h ^= w[o : o + n] >> np.uint64(3)
+        h *= MIX[1]
+        h ^= h >> np.uint64(29)
     h *= MIX[2]
     width = SPAN - GRAM + 1
     step, have = 1, 1
@@ -133,7 +136,7 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     sa = np.flatnonzero(left >= 8)
     rank = np.zeros(len(data), np.int64)
     key = words[sa]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sa, key = sa[order], key[order]
     new = np.ones(len(sa), bool)
     new[1:] = key[1:] != key[:-1]
@@ -156,7 +159,7 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(open_)
         if len(at):
             following = rank[sa[at] + step]
-            order = np.lexsort((following, which[at]))
+            order = np.argsort((which[at] << 32) | following)
             sa[at] = sa[at][order]
             same = np.zeros(len(sa), np.int64)
             same[at] = following[order]
@@ -307,7 +310,7 @@ def send_anchors(buckets: int, often_here: int):
                 if not len(keys):
                     continue
                 code = codes(keys, buckets)
-                order = np.argsort(code, kind="stable")
+                order = np.argsort(code)
                 code, doc = code[order], np.searchsorted(ends, first[order], side="right")
                 new = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
                 several = np.maximum.reduceat(doc, new) != np.minimum.reduceat(doc, new)
@@ -331,7 +334,7 @@ def shared_anchors(often: int):
         keys = [np.frombuffer(x, "<u4") for x in group["keys"]]
         sizes = np.array([len(x) for x in keys])
         flat, flags = np.concatenate(keys), np.frombuffer(b"".join(group["flags"]), np.uint8)
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat)
         new = np.append(True, flat[order][1:] != flat[order][:-1])
         start, which = np.flatnonzero(new), np.empty(len(flat), np.int64)
         which[order] = np.cumsum(new) - 1
@@ -372,14 +375,14 @@ def send_segments(anchor_buckets: int, buckets: int):
         order = np.argsort(bucket, kind="stable")
         a, b, bucket = a[order], b[order], bucket[order].astype(np.int64)
         owner = docs[np.searchsorted(ends, a, side="right")]
-        text = data.tobytes()
+        text, squeeze = data.tobytes(), zstandard.ZstdCompressor(level=1).compress
         edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(a) else np.empty(0, np.int64)
         for x, y in zip(edges, np.append(edges[1:], len(a)), strict=True) if len(a) else ():
             seen: dict[bytes, int] = {}
             place = [seen.setdefault(text[i:j], len(seen)) for i, j in zip(a[x:y].tolist(), b[x:y].tolist(), strict=True)]
             yield (
-                int(bucket[x]), row.shard, b"".join(seen), pack(np.array([len(s) for s in seen]), "<u4"),
-                pack(np.array(place), "<u4"), pack(a[x:y], "<u4"), pack(owner[x:y], "<i8"),
+                int(bucket[x]), row.shard, squeeze(b"".join(seen)), squeeze(pack(np.array([len(s) for s in seen]), "<u4")),
+                squeeze(pack(np.array(place), "<u4")), squeeze(pack(a[x:y], "<u4")), squeeze(pack(owner[x:y], "<i8")),
             )
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -396,14 +399,15 @@ def match(group: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: the stretches of strings, by shard, that a smaller doc_id has too."""
     seen: dict[bytes, int] = {}
     which, starts, owners, shards = [], [], [], []
+    opened_ = zstandard.ZstdDecompressor().decompress
     for row in group.itertuples():
-        own, at = [], 0
-        for n in np.frombuffer(row.sizes, "<u4").tolist():
-            own.append(seen.setdefault(row.strings[at : at + n], len(seen)))
+        own, at, strings = [], 0, opened_(row.strings)
+        for n in np.frombuffer(opened_(row.sizes), "<u4").tolist():
+            own.append(seen.setdefault(strings[at : at + n], len(seen)))
             at += n
-        which.append(np.array(own)[np.frombuffer(row.which, "<u4")])
-        starts.append(np.frombuffer(row.starts, "<u4").astype(np.int64))
-        owners.append(np.frombuffer(row.owners, "<i8"))
+        which.append(np.array(own)[np.frombuffer(opened_(row.which), "<u4")])
+        starts.append(np.frombuffer(opened_(row.starts), "<u4").astype(np.int64))
+        owners.append(np.frombuffer(opened_(row.owners), "<i8"))
         shards.append(np.full(len(starts[-1]), row.shard))
     which, starts, owners, shards = map(np.concatenate, (which, starts, owners, shards))
     least = np.full(len(seen), UNKNOWN)
