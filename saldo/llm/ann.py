@@ -103,14 +103,25 @@ class Index:
     def __init__(self, codes: Codes, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.codes, self.ids, self.vectors = codes, ids, vectors
         self.code = codes.of(vectors, np.sqrt(np.square(vectors).sum(axis=1).max()))
+        self.words = np.ascontiguousarray(np.pad(self.code, ((0, 0), (0, -self.code.shape[1] % 4)))).view(np.uint64)
         self.listed = []
         for column in self.code.T:
             order = np.argsort(column, kind="stable")
             values, first = np.unique(column[order], return_index=True)
             self.listed.append((values, order, np.diff(np.append(first, len(order)))))
 
+    def distance(self, code: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """Bits in which rows differ from the code."""
+        word = np.pad(code, (0, -len(code) % 4)).view(np.uint64)
+        words = self.words if rows is None else self.words[rows]
+        out = np.zeros(len(words), np.uint16)
+        for i in range(words.shape[1]):
+            out += np.bitwise_count(words[:, i] ^ word[i])
+        return out
+
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Rows at most `radius` bits from the code, by probing every substring's share of the radius."""
+        """Rows at most `radius` bits from the code, by probing every substring's share of the radius. Once
+        the probes have retrieved most of the block, the whole block is checked instead."""
         parts = len(self.listed)
         share, more = divmod(radius, parts)
         seen = np.zeros(len(self.ids), bool)
@@ -118,20 +129,25 @@ class Index:
             reach = share if i <= more else share - 1  # shares that add up to radius - parts + 1 suffice
             if reach >= 0:
                 seen[order[np.repeat(COUNT[values ^ code[i]] <= reach, sizes)]] = True
+            if 2 * np.count_nonzero(seen) > len(seen):
+                return np.flatnonzero(self.distance(code) <= radius)
         rows = np.flatnonzero(seen)
-        return rows[COUNT[self.code[rows] ^ code].sum(axis=1, dtype=np.int64) <= radius]
+        return rows[self.distance(code, rows) <= radius]
 
     def nearest(self, query_id: int, query: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, inner products) of the k nearest that the code finds, ties to the smaller id."""
         rows = self.within(code, self.codes.radius)
         rows = rows[self.ids[rows] != query_id]
         if len(rows) < k < len(self.ids):
-            far = COUNT[self.code ^ code].sum(axis=1, dtype=np.int64)
+            far = self.distance(code)
             rows = self.within(code, int(np.partition(far, k)[k]))
             rows = rows[self.ids[rows] != query_id]
         elif len(rows) < k:
             rows = np.flatnonzero(self.ids != query_id)
         score = np.multiply(self.vectors[rows], query).sum(axis=1)
+        if len(rows) > k:  # all that reach the k-th score
+            top = np.flatnonzero(score >= np.partition(score, -k)[-k])
+            rows, score = rows[top], score[top]
         best = np.lexsort((self.ids[rows], -score))[:k]
         return self.ids[rows[best]], score[best]
 
