@@ -71,7 +71,7 @@ def pack_bits(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.uint16)
 
 
-def learn(sample: np.ndarray, k: int) -> Codes:
+def learn(sample: np.ndarray, k: int, blocks: int) -> Codes:
     """Rotations by iterative quantization, and the radius from the sample's own neighbours."""
     rng, unit = np.random.default_rng(7), sample / np.linalg.norm(sample, axis=1, keepdims=True)
     dims, parts = unit.shape[1], []
@@ -85,13 +85,17 @@ def learn(sample: np.ndarray, k: int) -> Codes:
     spare = -rotation.shape[1] % BITS
     rotation = np.concatenate([rotation, rng.standard_normal((dims, spare)) / dims**0.5], axis=1)
     codes = Codes(rotation, rng.standard_normal(rotation.shape[1]) / dims**0.5, 0)
-    own = codes.of(unit, 1.0)
-    asked, far = min(len(unit), 256), []
-    for i in range(asked):
-        near = np.multiply(unit, unit[i]).sum(axis=1)
+    length = np.linalg.norm(sample, axis=1)
+    by_length = np.array_split(np.argsort(length, kind="stable"), min(blocks, 16, len(sample)))
+    own = np.zeros((len(sample), rotation.shape[1] // BITS), np.uint16)
+    for rows in by_length:  # lifted as in an index block of similar norms
+        own[rows] = codes.of(sample[rows], length[rows].max())
+    asked, far = min(len(sample), 256), []
+    for i, code in enumerate(codes.of_queries(sample[:asked])):
+        near = np.multiply(sample, sample[i]).sum(axis=1)
         near[i] = -np.inf
-        top = np.argsort(-near, kind="stable")[: min(k, len(unit) - 1)]
-        far.append(COUNT[own[top] ^ own[i]].sum(axis=1, dtype=np.int64))
+        top = np.argsort(-near, kind="stable")[: min(k, len(sample) - 1)]
+        far.append(COUNT[own[top] ^ code].sum(axis=1, dtype=np.int64))
     distances = np.concatenate(far) if far else np.zeros(0, int)
     codes.radius = int(np.quantile(distances, COVER)) if len(distances) else rotation.shape[1]
     return codes
@@ -195,9 +199,9 @@ def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sampl
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     once = once.where(F.size("v") == sizes["n"])
     drawn = once.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
-    shared = spark.sparkContext.broadcast(learn(np.array([r["v"] for r in drawn]), k))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     blocks = max(1, ceil(sizes["c"] / block))
+    shared = spark.sparkContext.broadcast(learn(np.array([r["v"] for r in drawn]), k, blocks))
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     # a range of norms that all rows share is spread by the hash of the id
     ordered = once.repartitionByRange(blocks, norm, F.xxhash64("vec_id")) if blocks > 1 else once.coalesce(1)
     index = staged(ordered.mapInPandas(packed(block), "block long, ids binary, vectors binary"), "index-blocks")

@@ -60,7 +60,9 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """`captures` (url, day and any other columns) with the verdict and the key that decided."""
+    """`captures` (url, day and any other columns) with the verdict and the key that decided. Columns of these
+    names that captures already have are replaced."""
+    captures = captures.drop("verdict", "rule")
     marked = captures.withColumn("__host", F.when(F.length(host_of(F.col("url"))) <= LONGEST_HOST, host_of(F.col("url"))))
     marked = marked.withColumn("__path", path_key(F.col("url"), F.col("__host")))
     visits = staged(
