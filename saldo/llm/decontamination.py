@@ -1,11 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits in lower case. The document frequency of every three-word sequence
-of the test items is counted over the whole corpus. An item's seeds are the rarest sequence in each
-stretch of STRETCH consecutive ones, so any verbatim run of STRETCH + 2 words holds a seed, also where an
-item's passage is common in the corpus. Documents meet items at a seed; the passage of the document
-around it is aligned with the whole item (match +2, other word -1, gap -1). A document is contaminated
-by an item if the local score reaches half of the item's perfect score, or 20 matched words.
+of the test items is counted over the whole corpus. An item's seeds are, in each stretch of STRETCH
+consecutive sequences, the rarest one that occurs at all, so any verbatim run of STRETCH + 2 words holds a
+seed, also where an item's passage is common in the corpus. Documents meet items at a seed; the passage of
+the document around it is aligned with the whole item (match +2, other word -1, gap -1). A document is
+contaminated by an item if the local score reaches half of the item's perfect score, or 20 matched words.
 
 Scale: items are taken in blocks of at most BLOCK_BYTES of distinct text. One block's sequences are
 broadcast, so the broadcast is bounded whatever the benchmark's size; each block is one pass that
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from saldo.llm.common import bound_batches, total_bytes
 
 GRAM = 3
-STRETCH = 4
+STRETCH = 3
 MIN_WORDS = 5
 SHARE = 0.5
 ENOUGH_WORDS = 20
@@ -75,15 +75,17 @@ class Block:
         return block
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """The rarest sequence of every stretch of each item; ties go to the smaller hash."""
+        """The rarest sequence of every stretch of each item that occurs; ties go to the smaller hash."""
         for i, item in enumerate(self.items):
             grams = grams_of(item)
-            order = np.lexsort((grams * np.int64(-7046029254386353131), frequency[np.searchsorted(self.grams, grams)]))
+            often = frequency[np.searchsorted(self.grams, grams)]
+            order = np.lexsort((grams * np.int64(-7046029254386353131), np.where(often, often, frequency.max() + 1)))
             rank = np.empty(len(grams), np.int64)
             rank[order] = np.arange(len(grams))
             width = min(STRETCH, len(grams))
             for at in {int(p + rank[p : p + width].argmin()) for p in range(len(grams) - width + 1)}:
-                self.seeds.setdefault(int(grams[at]), []).append((i, at))
+                if often[at]:
+                    self.seeds.setdefault(int(grams[at]), []).append((i, at))
         self.seed_grams = np.array(sorted(self.seeds), np.int64)
 
     def number(self, texts) -> tuple[np.ndarray, np.ndarray]:
