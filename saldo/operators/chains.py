@@ -52,7 +52,7 @@ def change_decision(cards: DataFrame, edges: DataFrame, hops: int = 5, months: i
     )
 
 
-def chain_closure(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def chain_closure(edges: DataFrame) -> DataFrame:
     """Length and last card of the chain that starts at every card.
 
     Pointer doubling: after round r a pointer spans 2^r hops, so the number of rounds is the
@@ -72,9 +72,9 @@ def chain_closure(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     )
     cards = state.count()
     span = 1
-    for _ in range(max_rounds):
+    while span <= cards:
         moving = state.filter("moves")
-        if span > cards or moving.isEmpty():
+        if moving.isEmpty():
             break
         ahead = state.select(
             F.col("card").alias("last"), F.col("last").alias("far"),

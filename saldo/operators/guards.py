@@ -7,20 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from saldo.session import staged
+
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails if two rows share the key.
 
-    The keys alone are counted, combined on every task, in a branch that yields no row and raises on
-    the first repeated key. The rows themselves are not shuffled for the check, so a join that
-    follows still shuffles both its sides and AQE can split a hot key.
+    Keys are counted, combined on every task, in a branch that yields no row and raises on the first
+    repeated key. The branch carries the first real values of its columns: with constants there, a
+    join that follows would prove it empty and drop the check. The rows themselves are not shuffled
+    for the check, so a join still shuffles both its sides and AQE can split a hot key.
     """
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     message = F.concat(F.lit(f"not unique on {', '.join(keys)}: "), shown)
+    others = [F.first(c).alias(c) for c in df.columns if c not in keys]
     repeated = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *others)
         .filter(F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(False))
-        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+        .select(*df.columns)
     )
     return df.unionByName(repeated)
 
@@ -31,26 +35,8 @@ def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-BROADCAST_ROWS = 200_000
-
-
-def _fits(df: DataFrame, rows: int) -> bool:
-    """Count no further than the bound; no column is read."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast only after counting it; beyond the bound it is left to the planner,
-    which shuffles both sides and splits skewed partitions."""
-    return F.broadcast(df) if _fits(df, rows) else df
-
-
-def dimension(df: DataFrame, source: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A dimension for joins with a ledger. ``source`` is the table it has one row per row of.
-
-    When the source is within the bound, the dimension (with its joins and uniqueness guards) is
-    worked out once, stored as a reliable checkpoint and broadcast: the size estimate of a derived
-    table, a product for joins, would otherwise have the whole ledger shuffled for some kilobytes.
-    Beyond the bound it stays a plan, joined by shuffle.
-    """
-    return F.broadcast(df) if _fits(source, rows) else df
+def dimension(df: DataFrame) -> DataFrame:
+    """A derived dimension for joins with a ledger, worked out once and written to the shared folder.
+    Its uniqueness checks run there, and the planner sees its real size instead of a product of
+    estimates: below the broadcast limit it is broadcast, beyond it both sides are shuffled."""
+    return staged(df, "dimension")

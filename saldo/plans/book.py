@@ -151,16 +151,16 @@ class SalesBook:
 
     @cached_property
     def sets(self) -> DataFrame:
-        sets = dimension(company_sets(self.tables), self.tables["company_main"])
+        sets = dimension(company_sets(self.tables))
         return sets if self.company is None else sets.filter(F.col("comp_scala") == self.company)
 
     @cached_property
     def chart(self) -> DataFrame:
-        return dimension(chart(self.tables), self.tables["plan_schetov"])
+        return dimension(chart(self.tables))
 
     @cached_property
     def customers(self) -> DataFrame:
-        return dimension(customers(self.tables), self.tables["organizations"])
+        return dimension(customers(self.tables))
 
     @cached_property
     def movements(self) -> DataFrame:
@@ -222,8 +222,7 @@ class SalesBook:
         matched = rows.join(
             listed.filter(in_period(self.period, F.col("book_date"))), list(WRITEOFF_KEYS)
         ).join(
-            dimension(writeoff_map(self.tables), self.tables["wo_accounts_map"]),
-            ["writeoff_set", "year_v", "acc", "wo_type"],
+            writeoff_map(self.tables), ["writeoff_set", "year_v", "acc", "wo_type"],
         )
         return _book(post(self.with_invoice(matched), [_writeoffs()], RATES_BOOK))
 

@@ -17,11 +17,12 @@ from saldo.functions.money import (
     MONEY, RATES_BUFFER, cents, local_amount, measures, money, signs_agree,
 )
 from saldo.functions.text import doc_key, or_blank
-from saldo.operators.guards import broadcast_if_small, dimension
+from saldo.operators.guards import dimension
 from saldo.operators.reload import delete_matching, delete_where
 from saldo.plans.book import WRITEOFF_KEYS, writeoff_flag
 from saldo.plans.postings import PERCENT, Posting, post, shaped, summed
 from saldo.session import staged
+from saldo.sources.tables import trim_keys
 from saldo.plans.scope import (
     Tables, company_scope, company_sets, customers, plan_of_scope, writeoff_map,
 )
@@ -121,7 +122,7 @@ def _ledger_advance() -> Column:
 def operations_buffer(tables: Tables, period: Period | None = None) -> DataFrame:
     """Movements of all companies with their invoice document, the credited invoice and the company
     it belongs to."""
-    companies = broadcast_if_small(tables["company_main"])
+    companies = tables["company_main"]
     invoices = tables["invoices"].select(
         F.col("invoice_number").alias("invoice"), "id_company", "factura_number",
         "invoice_no_cred", F.col("filial_no_cred"), F.col("book_date").alias("invoice_book_date"),
@@ -155,6 +156,13 @@ def advance_wraps(movements: DataFrame) -> DataFrame:
     ).distinct()
 
 
+# Text keys of the remote feeds, which their source compares without trailing blanks.
+REMOTE_KEYS = {
+    "reversals": ("comp_scala", "invoice", "org_code"), "special_trans": ("comp_scala",),
+    "inv_lib": ("comp_scala", "invoice", "customer_code"),
+}
+
+
 class TaxBuffer:
     """Ledgers and branches of one run.
 
@@ -175,6 +183,10 @@ class TaxBuffer:
                 self.__dict__[name] = self.stored[name] = staged(derived, name)
         return self
 
+    def _feed(self, name: str) -> DataFrame:
+        """A table of the remote ledger, its text keys without the blanks that source pads them with."""
+        return trim_keys(self.tables[name], *REMOTE_KEYS[name])
+
     def _get(self, name: str) -> DataFrame:
         return self.stored[name] if name in self.stored else getattr(self, f"_{name}")()
 
@@ -183,7 +195,7 @@ class TaxBuffer:
     @cached_property
     def scope(self) -> DataFrame:
         scope = company_scope(self.tables, self.master, self.company)
-        return dimension(scope, self.tables["master_comp_scala"])
+        return dimension(scope)
 
     @cached_property
     def sets(self) -> DataFrame:
@@ -194,7 +206,7 @@ class TaxBuffer:
     def plan(self) -> DataFrame:
         if "plan" in self.stored:
             return self.stored["plan"]
-        return dimension(self._plan(), self.tables["plan_schetov"])
+        return dimension(self._plan())
 
     def _plan(self) -> DataFrame:
         return plan_of_scope(self.tables, self.sets)
@@ -204,7 +216,7 @@ class TaxBuffer:
         """Customers of every master, with their parents of the same set."""
         if "customers" in self.stored:
             return self.stored["customers"]
-        return dimension(self._customers(), self.tables["organizations"])
+        return dimension(self._customers())
 
     def _customers(self) -> DataFrame:
         mine = customers(self.tables).withColumn("master", F.col("customer_set").cast("string"))
@@ -391,7 +403,7 @@ class TaxBuffer:
 
     def _without_reversed(self, rows: DataFrame) -> DataFrame:
         return delete_matching(
-            rows, self.tables["reversals"].select("comp_scala", "invoice", "trans_number"),
+            rows, self._feed("reversals").select("comp_scala", "invoice", "trans_number"),
             ["comp_scala", "invoice", "trans_number"],
         )
 
@@ -448,8 +460,7 @@ class TaxBuffer:
         ).distinct()
         mapped = dimension(
             writeoff_map(self.tables).join(sets, "writeoff_set")
-            .select("master", "year_v", "acc", "wo_type"),
-            self.tables["wo_accounts_map"],
+            .select("master", "year_v", "acc", "wo_type")
         )
         day = F.col("book_date")
         posting = Posting(
@@ -496,11 +507,11 @@ class TaxBuffer:
     def reversals(self) -> DataFrame:
         """Payments reversed in the remote ledger, at the rate of the reversal day. Currency and
         account come from the invoice."""
-        feed = self.tables["reversals"].filter(in_period(self.period, F.col("rev_date"))).select(
+        feed = self._feed("reversals").filter(in_period(self.period, F.col("rev_date"))).select(
             "comp_scala", "invoice", F.col("org_code").alias("cust_code"), "trans_number",
             "rev_date", "amount_loc", "amount_org", F.year("rev_date").alias("year_v"),
         )
-        invoices = self.tables["inv_lib"].select(
+        invoices = self._feed("inv_lib").select(
             "comp_scala", "invoice", F.col("account").alias("acc"),
             F.col("customer_code").alias("org_code"), F.col("curr"), F.col("inv_book_date"),
         )
@@ -512,7 +523,7 @@ class TaxBuffer:
             F.col("rate_date").alias("rev_date"), F.col("src_curr").alias("curr"),
             F.col("trg_curr").alias("base_curr"), F.col("rate").alias("pay_rate"),
         )
-        bases = broadcast_if_small(self.tables["company_main"].select("comp_scala", "base_curr"))
+        bases = self.tables["company_main"].select("comp_scala", "base_curr")
         posting = Posting(
             REVERSALS, (F.col("tax_pay") == 1) & _not_grouped(),
             gross=-_local(), inv_gross=-_original(),
@@ -525,8 +536,8 @@ class TaxBuffer:
             .join(invoices, ["comp_scala", "invoice"])
             .join(self.plan.drop("cur"), ["master", "year_v", "acc"])
             .join(self.customers, ["master", "org_code"])
-            .join(broadcast_if_small(names), "curr")
-            .join(broadcast_if_small(rates), ["rev_date", "base_curr", "curr"])
+            .join(names, "curr")
+            .join(rates, ["rev_date", "base_curr", "curr"])
         )
         return _branch(post(rows, [posting], RATES_BUFFER).withColumns({
             "cust_name": F.col("org_name"), "inn": F.col("clean_inn"),
@@ -543,7 +554,7 @@ class TaxBuffer:
         rows = ledger.filter(in_period(self.period, F.col("f_date"))).join(
             self.scope.select("comp_scala"), "comp_scala", "left_semi"
         )
-        feed = self.tables["special_trans"].select(
+        feed = self._feed("special_trans").select(
             "comp_scala", F.col("year_v"), F.col("trans_number").alias("trans")
         )
         marked = rows.withColumn("year_v", F.year("f_date")).join(
@@ -602,10 +613,10 @@ class TaxBuffer:
     def clean_ungrouped(self) -> DataFrame:
         """The ungrouped ledger without reversed, special, moved and wrapped payments. Reversals and
         special payments leave whatever their month."""
-        feed = self.tables["reversals"].select(
+        feed = self._feed("reversals").select(
             "comp_scala", F.col("invoice").alias("inv"), F.col("trans_number").alias("trans")
         )
-        special = self.tables["special_trans"].select(
+        special = self._feed("special_trans").select(
             "comp_scala", F.col("year_v").alias("_year"), F.col("trans_number").alias("trans")
         )
         left = delete_matching(self.ungrouped, feed, ["comp_scala", "inv", "trans"])

@@ -26,14 +26,15 @@ def stream_snapshots(stream: DataFrame, path: str, checkpoint: str,
     """Route arriving history rows to their day and append them; late rows whose day is closed go to
     the default partition, as in the batch job.
 
-    Each micro-batch writes its own ``batch`` partition and replaces it when the batch is replayed
+    Days are the outer folders, so retention drops streamed days as it drops others. Inside a day,
+    each micro-batch writes its own ``batch`` partition and replaces it when the batch is replayed
     after a failure, so a row is stored once.
     """
     def store(rows: DataFrame, batch: int) -> None:
         from pyspark.sql import functions as F
 
         routed = route(rows.select(*HISTORY_COLUMNS), open_days()).withColumn("batch", F.lit(batch))
-        (routed.hint("rebalance", "day").write.partitionBy("batch", "day").mode("overwrite")
+        (routed.hint("rebalance", "day").write.partitionBy("day", "batch").mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").parquet(path))
 
     return (

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from saldo.catalogue import MONTH
 from saldo.operators import balance, chains, dedup, pricing
-from saldo.operators.guards import broadcast_if_small
 from saldo.plans.book import SalesBook
 from saldo.plans.buffer import TaxBuffer
 from saldo.session import SQL_OPTIONS, shared_folder
@@ -61,14 +60,7 @@ def test_newest_row_is_cut_on_the_map_side(tables):
     assert text.count("WindowGroupLimit") == 2
 
 
-def test_large_dimension_is_not_hinted(spark):
-    small, large = spark.range(10), spark.range(11)
-    assert "strategy=broadcast" in plan(broadcast_if_small(small, 10))
-    assert "strategy=broadcast" not in plan(broadcast_if_small(large, 10))
-
-
-def test_books_agree_without_any_broadcast(spark, tables, monkeypatch):
-    monkeypatch.setattr("saldo.operators.guards._fits", lambda df, rows: False)
+def test_books_agree_without_any_broadcast(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -78,7 +70,6 @@ def test_books_agree_without_any_broadcast(spark, tables, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    monkeypatch.undo()
     assert a == sorted(map(str, SalesBook(tables, MONTH).whole().collect()))
 
 

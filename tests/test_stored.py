@@ -127,3 +127,5 @@ def test_stream_stores_each_row_once(spark):
     stored = spark.read.parquet(path)
     assert stored.count() == events.count() and stored.select("utime").distinct().count() == events.count()
     assert {r[0] for r in stored.select("batch").distinct().collect()} == {0, 1}
+    assert snapshots.retain(spark, path, date(2024, 1, 8)) == ["2024-01-02"]
+    assert spark.read.parquet(path).filter("day = '2024-01-02'").count() == 0
