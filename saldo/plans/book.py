@@ -65,13 +65,17 @@ def _book(rows: DataFrame) -> DataFrame:
     )
 
 
-def writeoff_flag(rows: DataFrame, writeoffs: DataFrame, name: str = "written_off") -> DataFrame:
+def writeoff_flag(rows: DataFrame, writeoffs: DataFrame, period: Period | None = None,
+                  companies: DataFrame | None = None, name: str = "written_off") -> DataFrame:
     """True on movements found in the write-off list. The list may repeat a movement; its keys are
-    made distinct first, so the flag never multiplies rows."""
+    made distinct first, so the flag never multiplies rows. Only lines of the period and companies
+    (column ``comp_scala``) of the report are staged."""
     listed = writeoffs.select(
         *[F.col(theirs).alias(ours) for ours, theirs in WRITEOFF_KEYS.items()], F.lit(True).alias(name)
-    ).distinct()
-    listed = staged(listed, "writeoffs")
+    ).filter(in_period(period, F.col("book_date")))
+    if companies is not None:
+        listed = listed.join(companies.select("comp_scala"), "comp_scala", "left_semi")
+    listed = staged(listed.distinct(), "writeoffs")
     return rows.join(listed, list(WRITEOFF_KEYS), "left").withColumn(
         name, F.coalesce(name, F.lit(False))
     )
@@ -189,7 +193,7 @@ class SalesBook:
         })
 
     def flagged(self, rows: DataFrame) -> DataFrame:
-        return writeoff_flag(rows, self.tables["writeoff_list"])
+        return writeoff_flag(rows, self.tables["writeoff_list"], self.period, self.sets)
 
     def accruals(self) -> DataFrame:
         return _book(post(self.with_invoice(self.movements), [_accruals()], RATES_BOOK))

@@ -119,10 +119,13 @@ def _ledger_advance() -> Column:
     )
 
 
-def operations_buffer(tables: Tables, period: Period | None = None) -> DataFrame:
-    """Movements of all companies with their invoice document, the credited invoice and the company
-    it belongs to."""
-    companies = tables["company_main"]
+def operations_buffer(tables: Tables, period: Period | None = None,
+                      scope: DataFrame | None = None) -> DataFrame:
+    """Movements of all companies, or of those in ``scope``, with their invoice document, the credited
+    invoice and the company it belongs to."""
+    companies, movements = tables["company_main"], tables["operations_lib"]
+    if scope is not None:
+        movements = movements.join(scope.select("comp_scala"), "comp_scala", "left_semi")
     invoices = tables["invoices"].select(
         F.col("invoice_number").alias("invoice"), "id_company", "factura_number",
         "invoice_no_cred", F.col("filial_no_cred"), F.col("book_date").alias("invoice_book_date"),
@@ -132,7 +135,7 @@ def operations_buffer(tables: Tables, period: Period | None = None) -> DataFrame
         F.col("id_company").alias("filial_no_cred"), F.col("comp_scala").alias("comp_scala_cred")
     )
     return (
-        tables["operations_lib"].filter(in_period(period, F.col("book_date")))
+        movements.filter(in_period(period, F.col("book_date")))
         .join(companies.select("comp_scala", "id_company"), "comp_scala")
         .join(invoices, ["invoice", "id_company"], "left")
         .join(credited, "filial_no_cred", "left")
@@ -229,13 +232,16 @@ class TaxBuffer:
         return self._get("buffer").filter(in_period(self.period, F.col("book_date")))
 
     def _buffer(self) -> DataFrame:
-        return operations_buffer(self.tables, self.period)
+        return operations_buffer(self.tables, self.period, self.scope)
 
     @cached_property
     def movements(self) -> DataFrame:
         """Buffer rows of the scope with their account, from the chart of the movement's year."""
+        return self._placed(self.buffer)
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
         return (
-            self.buffer.withColumns({"acc": F.col("account"), "org_code": F.col("customer_code")})
+            rows.withColumns({"acc": F.col("account"), "org_code": F.col("customer_code")})
             .drop("account")
             .join(self.scope, "comp_scala")
             .join(self.plan, ["master", "year_v", "acc"])
@@ -251,7 +257,16 @@ class TaxBuffer:
         return self._get("wraps")
 
     def _wraps(self) -> DataFrame:
-        return advance_wraps(self.movements)
+        """Invoices play no part, so without a stored buffer the ledger is read without them."""
+        if "buffer" in self.stored:
+            return advance_wraps(self.movements)
+        rows = self.tables["operations_lib"].filter(in_period(self.period, F.col("book_date"))).join(
+            self.tables["company_main"].select("comp_scala"), "comp_scala", "left_semi"
+        )
+        return advance_wraps(self._placed(rows.select(
+            "comp_scala", "customer_code", "invoice", "book_date", "account", "amount_org", "pay_line",
+            "mnth", "year_v",
+        )))
 
     def _with_flags(self, rows: DataFrame) -> DataFrame:
         """Mark accruals moved in billing and payments that were wrapped. Rows that cannot match
@@ -488,7 +503,7 @@ class TaxBuffer:
             values={"paydate": month_end(F.col("book_date")), "amount_loc": -F.col("amount_loc")},
         )
         candidates = self.ledger.filter(rule & (_book_advance() | _plain_payment()))
-        flagged = writeoff_flag(candidates, self.tables["writeoff_list"])
+        flagged = writeoff_flag(candidates, self.tables["writeoff_list"], self.period, self.scope)
         rows = post(flagged, [posting], RATES_BUFFER)
         keys = ["comp_scala", "paydate", "parent_code", "parent_name", "cur", "vat", "acc", "type",
                 "invoice_no_cred", "comp_scala_cred"]

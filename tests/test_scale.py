@@ -191,3 +191,14 @@ def test_hot_parent_is_split(spark, skew_visible):
     joined = scope.customers({"organizations": people})
     assert "skew=true" in final_plan(joined)
     assert joined.filter("parent_code = '7'").count() == 10001
+
+
+def test_month_run_stages_only_its_companies_and_dates(tables):
+    buffer = TaxBuffer(tables, MONTH, master="31")
+    mine = {r["comp_scala"] for r in buffer.scope.collect()}
+    got = buffer._buffer().select("comp_scala", F.year("book_date"), F.month("book_date")).distinct().collect()
+    assert got and {r[0] for r in got} <= mine and {tuple(r[1:]) for r in got} == {(MONTH.year, MONTH.month)}
+
+
+def test_wraps_need_no_invoices(tables):
+    assert "orders" not in plan(TaxBuffer(tables)._wraps())
