@@ -111,13 +111,16 @@ QUERIES = {
                    join {card_edges} d on c.new_card = d.old_card
                    join {card_edges} e on d.new_card = e.old_card) x on x.old_card = c.old_card""",
     "chain_closure": """
-        with recursive walk(card, tip, length) as (
-            select old_card, new_card, cast(1 as bigint) from {card_edges}
+        with recursive walk(card, tip, length, seen, ring) as (
+            select old_card, new_card, cast(1 as bigint), [old_card], new_card = old_card
+            from {card_edges}
             union all
-            select w.card, e.new_card, w.length + 1 from walk w join {card_edges} e
-              on e.old_card = w.tip)
-        select card, max(length) as length, arg_max(tip, length) as last_card,
-               cast(0 as bigint) as cyclic
+            select w.card, e.new_card, w.length + 1, list_append(w.seen, w.tip),
+                   e.new_card = w.tip or list_contains(w.seen, e.new_card)
+            from walk w join {card_edges} e on e.old_card = w.tip where not w.ring)
+        select card, case when not bool_or(ring) then max(length) end as length,
+               case when not bool_or(ring) then arg_max(tip, length) end as last_card,
+               cast(bool_or(ring) as bigint) as cyclic
         from walk group by card""",
     "assign_keys": """
         select p_partkey, p_name,

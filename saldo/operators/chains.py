@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.operators.guards import require_unique
-from saldo.session import cut_lineage, staged
+from saldo.session import staged
 
 
 def chain_of(edges: DataFrame, hops: int) -> DataFrame:
@@ -56,8 +58,8 @@ def chain_closure(edges: DataFrame) -> DataFrame:
     """Length and last card of the chain that starts at every card.
 
     Pointer doubling: after round r a pointer spans 2^r hops, so the number of rounds is the
-    logarithm of the longest chain. Only pointers that can still move are joined; each round is
-    written as a reliable checkpoint. A pointer that still moves once 2^r exceeds the number of
+    logarithm of the longest chain. A round joins and writes only pointers that can still move;
+    those that have arrived stay in the round's table in which they did. A pointer that still moves once 2^r exceeds the number of
     cards is on a cycle or runs into one: ``cyclic``, without length and last card.
     """
     hops = require_unique(
@@ -65,18 +67,16 @@ def chain_closure(edges: DataFrame) -> DataFrame:
     ).withColumn("length", F.lit(1).cast("long"))
     # a pointer to a card that was never replaced has arrived
     olds = hops.select(F.col("card").alias("last"), F.lit(True).alias("moves"))
-    state = cut_lineage(
+    first = staged(
         hops.join(olds, "last", "left").select(
             "card", "last", "length", F.coalesce("moves", F.lit(False)).alias("moves")
-        )
+        ), "hops",
     )
-    cards = state.count()
+    cards = first.count()
+    arrived, moving = [first.filter("not moves")], first.filter("moves")
     span = 1
-    while span <= cards:
-        moving = state.filter("moves")
-        if moving.isEmpty():
-            break
-        ahead = state.select(
+    while span <= cards and not moving.isEmpty():
+        ahead = reduce(DataFrame.unionByName, arrived, moving).select(
             F.col("card").alias("last"), F.col("last").alias("far"),
             F.col("length").alias("more"), F.col("moves").alias("on"),
         )
@@ -84,10 +84,12 @@ def chain_closure(edges: DataFrame) -> DataFrame:
             "card", F.col("far").alias("last"), (F.col("length") + F.col("more")).alias("length"),
             F.col("on").alias("moves"),
         )
-        state = cut_lineage(state.filter("not moves").unionByName(moved))
+        moved = staged(moved, "pointers")
+        arrived.append(moved.filter("not moves"))
+        moving = moved.filter("moves")
         span *= 2
     open_end = F.col("moves")
-    return state.select(
+    return reduce(DataFrame.unionByName, arrived, moving).select(
         "card",
         F.when(~open_end, F.col("length")).alias("length"),
         F.when(~open_end, F.col("last")).alias("last_card"),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,20 +72,23 @@ def lay_in_slices(df: DataFrame, path: str, keys: Sequence[str], n: int) -> None
 
 
 def dedup_in_slices(spark: SparkSession, src: str, dst: str, keys: Sequence[str],
-                    order: Sequence[str], n: int) -> DataFrame:
-    """Newest row per key of a table laid out by ``lay_in_slices``, a slice at a time.
+                    order: Sequence[str], n: int, at_once: int = 4) -> DataFrame:
+    """Newest row per key of a table laid out by ``lay_in_slices``, ``at_once`` slices at a time.
 
     Equal keys share a slice, so each pass reads one partition of the source and holds only that
-    much shuffle data. A pass overwrites exactly its own output slice: after a failure the run is
+    much shuffle data; ``at_once`` passes fill the cluster where one slice would not. A pass overwrites exactly its own output slice: after a failure the run is
     simply started again, and slices that are already written are skipped.
     """
     schema = spark.read.parquet(src).schema
-    for i in range(n):
+
+    def clean(i: int) -> None:
         target = f"{dst}/{SLICE}={i}"
-        if exists(spark, f"{target}/_SUCCESS"):
-            continue
-        part = spark.read.schema(schema).parquet(src).filter(F.col(SLICE) == i).drop(SLICE)
-        keep_latest(part, keys, order).write.mode("overwrite").parquet(target)
+        if not exists(spark, f"{target}/_SUCCESS"):
+            part = spark.read.schema(schema).parquet(src).filter(F.col(SLICE) == i).drop(SLICE)
+            keep_latest(part, keys, order).write.mode("overwrite").parquet(target)
+
+    with ThreadPoolExecutor(at_once) as passes:
+        list(passes.map(inheritable_thread_target(spark)(clean), range(n)))
     return spark.read.option("basePath", dst).schema(schema).parquet(dst)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -35,6 +36,15 @@ def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def rows_seen(observation: Observation) -> int:
+    """Rows that a step counted, after its action has ended well. Where Spark proves a step empty while
+    it runs, it drops the counter with it and has no row to give; the step had none either."""
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
 def dimension(df: DataFrame) -> DataFrame:
     """A derived dimension for joins with a ledger, worked out once and written to the shared folder.
     Its uniqueness checks run there, and the planner sees its real size instead of a product of

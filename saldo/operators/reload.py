@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import Period, in_period
-from saldo.sources.folders import drop_partition, list_partitions, partition_files
+from saldo.sources.folders import drop_partition, partition_files
 
 PERIOD_KEYS = ("year_v", "mnth", "comp_scala")
 
@@ -30,18 +30,15 @@ def reload_period(df: DataFrame, path: str, period: Period | None = None,
     been replaced, are dropped after the write.
     """
     spark = df.sparkSession
-    before = [
-        (values, partition_files(spark, path, values))
-        for values in list_partitions(spark, path, PERIOD_KEYS)
-        if period is None or (
-            int(values["year_v"]) == period.year
-            and (period.month is None or int(values["mnth"]) == period.month)
-        )
-        if companies is None or values["comp_scala"] in companies
-    ]
+    reach = dict.fromkeys(PERIOD_KEYS, "*")
+    if period is not None:
+        reach |= {"year_v": str(period.year), "mnth": str(period.month or "*")}
+    before = partition_files(spark, path, reach)
     overwrite_partitions(df, path)
-    for values, files in before:
-        if files and files == partition_files(spark, path, values):
+    after = partition_files(spark, path, reach)
+    for key, files in before.items():
+        values = dict(zip(PERIOD_KEYS, key, strict=True))
+        if (companies is None or values["comp_scala"] in companies) and files == after.get(key):
             drop_partition(spark, path, values)
 
 

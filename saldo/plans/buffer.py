@@ -628,25 +628,42 @@ class TaxBuffer:
     def clean_ungrouped(self) -> DataFrame:
         """The ungrouped ledger without reversed, special, moved and wrapped payments. Reversals and
         special payments leave whatever their month."""
-        feed = self._feed("reversals").select(
-            "comp_scala", F.col("invoice").alias("inv"), F.col("trans_number").alias("trans")
-        )
+        left = self.ungrouped.withColumn("_year", F.year("f_date"))
+        for feed, keys in self._removal_feeds():
+            left = delete_matching(left, feed, keys)
+        return self._without_flagged(left.drop("_year"))
+
+    def _removal_feeds(self) -> list[tuple[DataFrame, list[str]]]:
+        """Reversals and special payments with the keys that tie them to the ungrouped ledger."""
+        trans = F.col("trans_number").alias("trans")
+        reversals = self._feed("reversals").select("comp_scala", F.col("invoice").alias("inv"), trans)
         special = self._feed("special_trans").select(
-            "comp_scala", F.col("year_v").alias("_year"), F.col("trans_number").alias("trans")
+            "comp_scala", F.col("year_v").alias("_year"), trans
         )
-        left = delete_matching(self.ungrouped, feed, ["comp_scala", "inv", "trans"])
-        left = delete_matching(
-            left.withColumn("_year", F.year("f_date")), special, ["comp_scala", "_year", "trans"]
-        ).drop("_year")
-        return self._without_flagged(left)
+        return [
+            (reversals, ["comp_scala", "inv", "trans"]), (special, ["comp_scala", "_year", "trans"]),
+        ]
+
+    def leaving_ungrouped(self) -> DataFrame:
+        """The rows that ``clean_ungrouped`` takes out; a row that two rules meet comes twice."""
+        dated = self.ungrouped.withColumn("_year", F.year("f_date"))
+        gone = [dated.join(feed, keys, "left_semi") for feed, keys in self._removal_feeds()]
+        return reduce(DataFrame.unionByName, gone, dated.filter(self._flagged())).drop("_year")
+
+    def leaving_grouped(self) -> DataFrame:
+        """The rows that ``clean_grouped`` takes out."""
+        return self.grouped.filter(self._flagged())
 
     def clean_grouped(self) -> DataFrame:
         """The grouped ledger without moved and wrapped payments."""
         return self._without_flagged(self.grouped)
 
     def _without_flagged(self, ledger: DataFrame) -> DataFrame:
+        return delete_where(ledger, self._flagged())
+
+    def _flagged(self) -> Column:
         flagged = F.col("invoice_billing_moving").isNotNull() | F.col("advance_wrap").isNotNull()
-        return delete_where(ledger, flagged & in_period(self.period, F.col("paydate")))
+        return flagged & in_period(self.period, F.col("paydate"))
 
 
 def tax_buffer(tables: Tables, period: Period | None = None, master: str | None = None,

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from saldo.sources.folders import drop_folder
+
+# Scratch folder of the run in progress, if it has its own.
+_RUN: ContextVar[str | None] = ContextVar("scratch folder of the run", default=None)
+
 # Runtime-settable SQL options the jobs count on. Joins carry no broadcast hints for tables that can
 # grow: the planner (estimated size) and AQE (measured size) broadcast only what is below the limit,
 # and skewed shuffle partitions are split, also where that costs an extra shuffle.
@@ -58,8 +65,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder, or of the current run's folder in it."""
+    return f"{_RUN.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_of_run(spark: SparkSession):
+    """What is staged inside goes to a folder of its own, which is deleted when the run ends well. For
+    runs that store their result elsewhere; after a failure the folder stays."""
+    folder = scratch_path(spark, "run")
+    before = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(before)
+    drop_folder(spark, folder)
 
 
 def cut_lineage(df):

@@ -7,6 +7,9 @@ from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
+# Folder value that Spark writes for a null key.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _path(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -28,12 +31,24 @@ def list_partitions(spark: SparkSession, path: str, keys: Sequence[str]) -> list
     return sorted(found, key=lambda values: tuple(values.values()))
 
 
-def partition_files(spark: SparkSession, path: str, values: Mapping[str, str]) -> set[str]:
-    """Names of the files of one partition; every write gives its files new names."""
+def partition_files(spark: SparkSession, path: str,
+                    values: Mapping[str, str]) -> dict[tuple[str, ...], set[str]]:
+    """Names of the files of every partition that fits the key values (``*`` fits any), from one
+    listing; every write gives its files new names."""
     target, files = _path(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()], "*"]))
-    return {status.getPath().getName() for status in files.globStatus(target) or []}
+    found: dict[tuple[str, ...], set[str]] = {}
+    for status in files.globStatus(target) or []:
+        *_, name = parts = status.getPath().toString().split("/")[-len(values) - 1:]
+        key = tuple(unquote(part.split("=", 1)[1]) for part in parts[:-1])
+        found.setdefault(key, set()).add(name)
+    return found
 
 
-def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
-    target, files = _path(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()]]))
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; a missing one is no error."""
+    target, files = _path(spark, path)
     files.delete(target, True)
+
+
+def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
+    drop_folder(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()]]))

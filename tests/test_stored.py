@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 from saldo.functions.dates import Period
 from saldo.operators import dedup, guards, reload
-from saldo.plans import snapshots
+from saldo.plans import month, snapshots
 from saldo.plans.buffer import TaxBuffer, tax_buffer
 from saldo.plans.month import GROUPED, UNGROUPED, clean_ledgers, run_buffer, stored_table
-from saldo.session import scratch_path
+from saldo.session import scratch_path, shared_folder
 from saldo.sources.demo_views import view_text
-from saldo.sources.folders import list_partitions
+from saldo.sources.folders import exists, list_partitions
 from saldo.streaming.snapshots import read_stream, stream_snapshots
 
 MONTH = Period(1996, 12)
@@ -42,6 +43,53 @@ def test_stored_run_equals_the_lazy_book_and_repeats(spark, tables):
         assert same(stored_table(spark, out, name).select(*clean.columns), clean)
 
 
+def test_interrupted_clean_up_loses_nothing(spark, tables, monkeypatch):
+    out = scratch_path(spark, "broken")
+    year = Period(1996)
+    finish, ends = month.finish_clean, iter(range(9))
+
+    def broken(spark, path):
+        if exists(spark, f"{path}.cleaned/_SUCCESS"):
+            raise RuntimeError(f"lost {next(ends)}")
+        finish(spark, path)
+
+    monkeypatch.setattr(month, "finish_clean", broken)
+    with pytest.raises(RuntimeError, match="lost 0"):
+        run_buffer(spark, tables, out, year)
+    rows = stored_table(spark, out, UNGROUPED)
+    run = TaxBuffer(tables, year).stage()
+    assert same(rows.select(*run.ungrouped.columns), run.ungrouped)  # as loaded, not a row less
+    monkeypatch.setattr(month, "finish_clean", finish)
+    clean_ledgers(spark, tables, out, year)
+    for name, clean in ((UNGROUPED, run.clean_ungrouped()), (GROUPED, run.clean_grouped())):
+        assert same(stored_table(spark, out, name).select(*clean.columns), clean)
+        assert not exists(spark, f"{out}/{name}.cleaned")
+
+
+def test_partitions_that_lose_all_rows_are_dropped(spark):
+    path = scratch_path(spark, "ledger_ungrouped_of") + f"/{UNGROUPED}"
+    schema = stored_table(spark, scratch_path(spark, "none"), UNGROUPED).schema
+    row = lambda y, c: tuple({"year_v": y, "mnth": 1, "comp_scala": c}.get(f.name) for f in schema)
+    ledger = spark.createDataFrame([row(2008, "01"), row(2008, "02"), row(2008, "02"), row(None, "02")], schema)
+    reload.overwrite_partitions(ledger, path)
+    ledger.select(*reload.PERIOD_KEYS).distinct().write.parquet(f"{path}.touched")
+    ledger.filter("comp_scala = '02' and year_v = 2008").limit(1).write.partitionBy(*reload.PERIOD_KEYS).parquet(f"{path}.cleaned")
+    for _ in range(2):
+        month.finish_clean(spark, path)
+        left = spark.read.schema(schema).parquet(path).collect()
+        assert [(r.year_v, r.comp_scala) for r in left] == [(2008, "02")]
+
+
+def test_run_counts_its_steps_and_leaves_no_scratch(spark, tables):
+    out = scratch_path(spark, "run")
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    book, rows = month.run_buffer_steps(spark, tables, out, MONTH, master="31")
+    assert rows["book"] == book.count() and rows["operations_buffer"] >= rows["ledger_ungrouped"] >= 0
+    assert set(rows) == {"operations_buffer", "advance_wrap", "ledger_ungrouped", "ledger_grouped", "book"}
+    left = set(os.listdir(shared_folder(spark).removeprefix("file:"))) - before
+    assert left <= {os.path.basename(out)}, left
+
+
 def test_cleaning_a_missing_ledger_is_no_error(spark, tables):
     clean_ledgers(spark, tables, scratch_path(spark, "none"))
 
