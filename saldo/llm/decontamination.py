@@ -12,7 +12,7 @@ broadcast, so the broadcast is bounded whatever the benchmark's size; each block
 counts and one that aligns. A document is aligned in the task that reads it: nothing is shuffled but
 the counts, which combine per task, and a passage that a third of the corpus holds meets no single task.
 
-Defined cases: null or empty texts and items match nothing. Items of under MIN_WORDS words are left out, as
+Defined cases: null or empty texts, null or empty items and items without an id match nothing. Items of under MIN_WORDS words are left out, as
 they cannot be told from chance. Items with equal words count as one, the least item_id. Repeated rows of
 documents give repeated results. A null doc_id is carried. An empty benchmark gives an empty result.
 """

@@ -34,7 +34,7 @@ def test_pipeline_equals_plain_python(spark):
     model = language_id.learn_outside(docs)
     rows = [r.asDict() for r in docs.orderBy("doc_id").collect()]
     told = language_id.infer([r["text"] for r in rows], model)
-    rows = [r for r, (lang, score, _) in zip(rows, told, strict=True) if lang != "und" and score >= 0.5]
+    rows = [r for r, (lang, score, _) in zip(rows, told, strict=True) if lang != "und" and score >= language_id.FLOOR]
     pages, held = Counter(r["source"] for r in rows), defaultdict(int)
     for r in rows:
         for line in {x.strip(" ") for x in r["text"].split("\n")} - {""}:
@@ -53,6 +53,22 @@ def test_pipeline_equals_plain_python(spark):
     assert got == want
 
 
+def test_language_stage_keeps_documents_in_several_languages(spark):
+    """Halves and thirds of clean documents in different languages stay; what has no letters goes."""
+    docs = table(spark, SMALL, "documents")
+    rows = docs.where("length(text) between 600 and 4000").select("lang", "text").collect()
+    by_lang = defaultdict(list)
+    for r in rows:
+        by_lang[r["lang"]].append(" ".join(r["text"].split()[:60]))
+    names = sorted(by_lang)
+    pairs = [f"{a}\n{b}" for x in names for y in names if x < y for a, b in list(zip(by_lang[x], by_lang[y]))[:5]]
+    threes = ["\n".join(z) for z in list(zip(*(by_lang[n] for n in names[:3])))[:5]]
+    texts = [*pairs, *threes, "123 !? 456", None, ""]
+    more = spark.createDataFrame([(10**6 + 5 * i, t, None, "made", 0) for i, t in enumerate(texts)], docs.schema)
+    kept = {r["text"] for r in language_id.keep_known_language(docs.unionByName(more)).where("source = 'made'").collect()}
+    assert kept == {*pairs, *threes}
+
+
 def test_stages_take_odd_rows(spark):
     """Nulls, empty texts, repeats, extra columns and an empty table pass every stage but the last with the same
     columns."""
