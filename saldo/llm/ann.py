@@ -6,14 +6,15 @@ least one substring differs in at most r / substrings bits, so probing, for each
 share of the radius retrieves every code within r. What is retrieved is checked for its whole distance, and
 the true inner products of the original vectors rank it, in double precision.
 
-The radius is learned: the distance that covers COVER of the true neighbours inside the sample. In the
-whole table neighbours are closer than in the sample, so recall is higher. Where a block has
-fewer than k codes in the radius, its radius grows until it has k.
+The radius is learned: the distance that covers COVER of the true neighbours inside the sample, and also COVER
+of the true neighbours that ASKED sample vectors have among all vectors of the block, whichever is wider. Where
+a block has fewer than k codes in the radius, all its vectors are ranked.
 
 Norms: largest inner products are not nearest directions when norms differ. The index is cut into blocks of
-similar norm, and inside a block each vector gets one more coordinate that lifts it to the block's largest norm.
+similar norm, the largest at most RATIO times the least, so a few long vectors get a block of their own. Inside
+a block each vector gets one more coordinate that lifts it to the block's largest norm.
 
-Scale: the index is cut into blocks of BLOCK vectors and the queries into blocks of QUERIES; each pair of
+Scale: the index is cut into blocks of at most BLOCK vectors and the queries into blocks of QUERIES; each pair of
 blocks is one task's work and returns k rows a query. No task holds more than one pair. A query set that
 grows with the table, against all its rows, is quadratic in the number of blocks; how many vectors
 are ranked depends on how well the data separate at the radius.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -42,6 +44,8 @@ from saldo.session import staged
 SAMPLE = 4096
 TABLES = 4
 COVER = 0.98
+ASKED = 256
+RATIO = 1.25
 BITS = 16
 BLOCK = 32768
 QUERIES = 512
@@ -59,7 +63,7 @@ class Codes:
 
     def of(self, vectors: np.ndarray, longest: float) -> np.ndarray:
         """Substrings (rows x substrings) of vectors, lifted to the longest norm."""
-        unit = vectors / longest
+        unit = vectors / (longest or 1.0)
         rest = np.sqrt(np.maximum(0.0, 1.0 - np.square(unit).sum(axis=1)))
         return pack_bits(unit @ self.rotation + rest[:, None] * self.lift > 0)
 
@@ -72,7 +76,7 @@ def pack_bits(bits: np.ndarray) -> np.ndarray:
 
 
 def learn(sample: np.ndarray, k: int, blocks: int) -> Codes:
-    """Rotations by iterative quantization, and the radius from the sample's own neighbours."""
+    """Rotations by iterative quantization, and the least radius from the sample's own neighbours."""
     rng, unit = np.random.default_rng(7), sample / np.linalg.norm(sample, axis=1, keepdims=True)
     dims, parts = unit.shape[1], []
     for _ in range(TABLES):
@@ -88,9 +92,9 @@ def learn(sample: np.ndarray, k: int, blocks: int) -> Codes:
     length = np.linalg.norm(sample, axis=1)
     by_length = np.array_split(np.argsort(length, kind="stable"), min(blocks, 16, len(sample)))
     own = np.zeros((len(sample), rotation.shape[1] // BITS), np.uint16)
-    for rows in by_length:  # lifted as in an index block of similar norms
+    for rows in chain.from_iterable(bands(x, length[x]) for x in by_length):  # lifted as in an index block
         own[rows] = codes.of(sample[rows], length[rows].max())
-    asked, far = min(len(sample), 256), []
+    asked, far = min(len(sample), ASKED), []
     for i, code in enumerate(codes.of_queries(sample[:asked])):
         near = np.multiply(sample, sample[i]).sum(axis=1)
         near[i] = -np.inf
@@ -101,12 +105,38 @@ def learn(sample: np.ndarray, k: int, blocks: int) -> Codes:
     return codes
 
 
+def bands(rows: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows in the order of their norms, cut where a norm is over RATIO times the first of its part."""
+    while len(rows):
+        end = max(1, int(np.searchsorted(length, RATIO * length[0], side="right")))
+        yield rows[:end]
+        rows, length = rows[end:], length[end:]
+
+
+def lifted(codes: Codes, vectors: np.ndarray) -> np.ndarray:
+    """The codes of a block."""
+    return codes.of(vectors, np.sqrt(np.square(vectors).sum(axis=1).max()))
+
+
+def radius_of(codes: Codes, ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: np.ndarray, k: int) -> int:
+    """The radius that covers COVER of the k nearest which the asked vectors have in a block, `codes.radius` at least."""
+    own, far = lifted(codes, vectors), []
+    for query_id, query, code in zip(asked_ids, asked, codes.of_queries(asked), strict=True):
+        near = vectors @ query
+        near[ids == query_id] = -np.inf
+        others = len(ids) - np.count_nonzero(ids == query_id)
+        if others:
+            top = np.argpartition(-near, min(k, others) - 1)[: min(k, others)]
+            far.append(COUNT[own[top] ^ code].sum(axis=1, dtype=np.int64))
+    return max(codes.radius, int(np.ceil(np.quantile(np.concatenate(far), COVER)))) if far else codes.radius
+
+
 class Index:
     """One block of vectors: the rows of each value of each substring."""
 
-    def __init__(self, codes: Codes, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.codes, self.ids, self.vectors = codes, ids, vectors
-        self.code = codes.of(vectors, np.sqrt(np.square(vectors).sum(axis=1).max()))
+    def __init__(self, codes: Codes, ids: np.ndarray, vectors: np.ndarray, radius: int) -> None:
+        self.ids, self.vectors, self.radius = ids, vectors, radius
+        self.code = lifted(codes, vectors)
         self.words = np.ascontiguousarray(np.pad(self.code, ((0, 0), (0, -self.code.shape[1] % 4)))).view(np.uint64)
         self.listed = []
         for column in self.code.T:
@@ -140,13 +170,9 @@ class Index:
 
     def nearest(self, query_id: int, query: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, inner products) of the k nearest that the code finds, ties to the smaller id."""
-        rows = self.within(code, self.codes.radius)
+        rows = self.within(code, self.radius)
         rows = rows[self.ids[rows] != query_id]
-        if len(rows) < k < len(self.ids):
-            far = self.distance(code)
-            rows = self.within(code, int(np.partition(far, k)[k]))
-            rows = rows[self.ids[rows] != query_id]
-        elif len(rows) < k:
+        if len(rows) < k:
             rows = np.flatnonzero(self.ids != query_id)
         score = np.multiply(self.vectors[rows], query).sum(axis=1)
         if len(rows) > k:  # all that reach the k-th score
@@ -162,11 +188,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def packed(size: int):
-    """Rows packed into blocks of `size` vectors."""
+def packed(size: int, ratio: float = np.inf):
+    """Rows packed into blocks of `size` vectors. With a ratio, rows come in the order of their norms and a
+    block ends before a norm over `ratio` times its first."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, ids, vectors = TaskContext.get().partitionId() << 32, [], []
+        number, ids, vectors, most = TaskContext.get().partitionId() << 32, [], [], np.inf
 
         def block():
             nonlocal number, ids, vectors
@@ -176,6 +203,11 @@ def packed(size: int):
 
         for batch in batches:
             for i, v in zip(batch["vec_id"], batch["v"], strict=True):
+                norm = np.linalg.norm(v)
+                if ids and norm > most:
+                    yield block()
+                if not ids:
+                    most = ratio * norm if ratio < np.inf else ratio
                 ids.append(i)
                 vectors.append(np.asarray(v))
                 if len(ids) >= size:
@@ -198,13 +230,21 @@ def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sampl
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     once = once.where(F.size("v") == sizes["n"])
-    drawn = once.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+    drawn = once.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec_id", "v").collect()
     blocks = max(1, ceil(sizes["c"] / block))
     shared = spark.sparkContext.broadcast(learn(np.array([r["v"] for r in drawn]), k, blocks))
+    first = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in drawn[:ASKED]]), np.array([r["v"] for r in drawn[:ASKED]])))
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     # a range of norms that all rows share is spread by the hash of the id
     ordered = once.repartitionByRange(blocks, norm, F.xxhash64("vec_id")) if blocks > 1 else once.coalesce(1)
-    index = staged(ordered.mapInPandas(packed(block), "block long, ids binary, vectors binary"), "index-blocks")
+    ordered = ordered.sortWithinPartitions(norm, F.xxhash64("vec_id"), "vec_id")
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in packed(block, RATIO)(batches):
+            ids, vectors = np.frombuffer(out["ids"][0], np.int64), np.frombuffer(out["vectors"][0])
+            yield out.assign(radius=radius_of(shared.value, ids, vectors.reshape(len(ids), -1), *first.value, k))
+
+    index = staged(ordered.mapInPandas(measured, "block long, ids binary, vectors binary, radius int"), "index-blocks")
     asked = once.where(wanted)
     groups = max(1, ceil(sizes["c"] / QUERIES))
     numbered = asked.withColumn("g", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)))
@@ -222,7 +262,7 @@ def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sampl
         for batch in batches:
             for row in batch.itertuples():
                 ids, q_ids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.q_ids, np.int64)
-                index = Index(shared.value, ids, np.frombuffer(row.vectors).reshape(len(ids), -1))
+                index = Index(shared.value, ids, np.frombuffer(row.vectors).reshape(len(ids), -1), row.radius)
                 asked = np.frombuffer(row.q_vectors).reshape(len(q_ids), -1)
                 out = []
                 for q, v, code in zip(q_ids, asked, shared.value.of_queries(asked), strict=True):

@@ -301,6 +301,26 @@ def test_op9_recall_and_order(spark):
     assert few.count() == 5 * 4
 
 
+def test_op9_one_long_vector_outside_the_sample(spark):
+    rnd = np.random.default_rng(6)
+    vectors = rnd.standard_normal((3000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids = spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()
+    for norm in (1.2, 3.0, 10.0):  # the first stays in the block of the others
+        longer = vectors.copy()
+        longer[ids[-1]["id"]] *= norm
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(longer)], "vec_id long, v array<double>")
+        got = defaultdict(set)
+        for r in ann.search(df, F.col("vec_id") % 20 == 0, 20, sample=1000).collect():
+            got[r["query_id"]].add(r["vec_id"])
+        hits = 0
+        for q, near in got.items():
+            score = longer @ longer[q]
+            score[q] = -np.inf
+            hits += len(near & set(np.argsort(-score)[:20].tolist()))
+        assert len(got) == 150 and hits >= 0.95 * 20 * 150, (norm, hits)
+
+
 def test_op10_finds_copies_and_spares_others(spark, given):
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
