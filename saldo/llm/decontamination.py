@@ -1,16 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits in lower case. The document frequency of every three-word sequence
-of the test items is counted over the whole corpus. An item's seeds are, in each stretch of STRETCH
-consecutive sequences, the rarest one that occurs at all, so any verbatim run of STRETCH + 2 words holds a
-seed, also where an item's passage is common in the corpus. Documents meet items at a seed; the passage of
+Words are runs of letters and digits in lower case. Every three-word sequence of a test item is a seed, so what
+is found in a document never depends on other documents. Documents meet items at a seed; the passage of
 the document around it is aligned with the whole item (match +2, other word -1, gap -1). A document is
 contaminated by an item if the local score reaches half of the item's perfect score, or 20 matched words.
+A passage is not aligned if it cannot reach that: neither side can score more than its best run of
+words, +2 for each that the other side holds and -1 for each that it lacks.
 
 Scale: items are taken in blocks of at most BLOCK_BYTES of distinct text. One block's sequences are
-broadcast, so the broadcast is bounded whatever the benchmark's size; each block is one pass that
-counts and one that aligns. A document is aligned in the task that reads it: nothing is shuffled but
-the counts, which combine per task, and a passage that a third of the corpus holds meets no single task.
+broadcast, so the broadcast is bounded whatever the benchmark's size; each block is one pass. A document is
+aligned in the task that reads it: nothing is shuffled, and a passage that a third of the corpus holds meets no
+single task. A sequence that many items share is looked at once for each of them in every document that holds it.
 
 Defined cases: null or empty texts, null or empty items and items without an id match nothing. Items of under MIN_WORDS words are left out, as
 they cannot be told from chance. Items with equal words count as one, the least item_id. Repeated rows of
@@ -20,7 +20,6 @@ documents give repeated results. A null doc_id is carried. An empty benchmark gi
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -34,12 +33,12 @@ from pyspark.sql import functions as F
 from saldo.llm.common import bound_batches, total_bytes
 
 GRAM = 3
-STRETCH = 3
 MIN_WORDS = 5
 SHARE = 0.5
 ENOUGH_WORDS = 20
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
+SLICE = 1 << 20  # shared places of texts and items held at once, one text's at least
 WORD = re.compile(r"[^\W_]+")
 BITS = 21  # a word number of one block; three fit in 63 bits
 
@@ -56,8 +55,9 @@ class Block:
     ids: list[int] = field(default_factory=list)
     items: list[np.ndarray] = field(default_factory=list)
     grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
-    seed_grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # where the places of each sequence begin
+    holder: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # the item of each place
+    offset: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Block:
@@ -71,23 +71,16 @@ class Block:
             block.ids.append(item_id)
             block.items.append(np.array(number, np.int64))
         if block.items:
-            block.grams = np.unique(np.concatenate([grams_of(x) for x in block.items]))
+            grams = [grams_of(x) for x in block.items]
+            size = [len(x) for x in grams]
+            every = np.concatenate(grams)
+            order = np.argsort(every, kind="stable")
+            block.grams, first = np.unique(every[order], return_index=True)
+            block.first = np.append(first, len(every))
+            block.holder = np.repeat(np.arange(len(grams)), size)[order]
+            block.offset = np.concatenate([np.arange(n) for n in size])[order]
         return block
 
-    def choose_seeds(self, frequency: np.ndarray) -> None:
-        """The rarest sequence of every stretch of each item that occurs; ties go to the smaller hash."""
-        for i, item in enumerate(self.items):
-            grams = grams_of(item)
-            often = frequency[np.searchsorted(self.grams, grams)]
-            order = np.lexsort((grams * np.int64(-7046029254386353131), np.where(often, often, frequency.max() + 1)))
-            rank = np.empty(len(grams), np.int64)
-            rank[order] = np.arange(len(grams))
-            width = min(STRETCH, len(grams))
-            for at in {int(p + rank[p : p + width].argmin()) for p in range(len(grams) - width + 1)}:
-                if often[at]:
-                    self.seeds.setdefault(int(grams[at]), []).append((i, at))
-        self.seed_grams = np.array(sorted(self.seeds), np.int64)
-
     def number(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts side by side, a 0 after each, and where each text begins."""
         get, parts, begin = self.vocabulary.get, [], [0]
@@ -133,36 +126,82 @@ def needed(words: int) -> float:
     return min(SHARE * MATCH * words, MATCH * ENOUGH_WORDS)
 
 
+def most(gains: np.ndarray) -> int:
+    """The largest sum of a run of words, each +MATCH if it can match and OTHER if it cannot."""
+    total = np.concatenate(([0], np.cumsum(np.where(gains, MATCH, OTHER))))
+    return int((total - np.minimum.accumulate(total)).max())
+
+
+def can_reach(item: np.ndarray, text: np.ndarray, own: np.ndarray, other: np.ndarray) -> bool:
+    """Whether an alignment may reach the needed score: on either side a word that the other lacks costs at least
+    one, and one that it holds gains at most MATCH. `own` marks the item's words, `other` is clear."""
+    if most(own[text]) < needed(len(item)):
+        return False
+    other[text] = True
+    reached = most(other[item]) >= needed(len(item))
+    other[text] = False
+    return reached
+
+
+def spans_of(numbers: np.ndarray, begin: np.ndarray, block: Block) -> Iterator[np.ndarray]:
+    """(item, doc, start, end) rows: the passages around all places where a text shares a sequence with an item, those
+    of one item and text that touch taken together. Texts come in slices of bounded numbers of places."""
+    keys = grams_of(numbers)
+    hits = found_in(keys, block.grams)
+    owner = np.searchsorted(begin, hits, side="right") - 1
+    kind = np.searchsorted(block.grams, keys[hits])
+    count = block.first[kind + 1] - block.first[kind]
+    length = np.array([len(x) for x in block.items])
+    before = np.concatenate(([0], np.cumsum(count)))
+    at = 0
+    while at < len(hits):
+        end = max(at + 1, int(np.searchsorted(before, before[at] + SLICE, side="right")) - 1)
+        if end < len(hits):  # whole texts, one at least
+            whole = int(np.searchsorted(owner, owner[end], side="left"))
+            end = whole if whole > at else int(np.searchsorted(owner, owner[at], side="right"))
+        n = count[at:end]
+        row = np.repeat(np.arange(at, end), n)
+        place = block.first[kind[row]] + np.arange(len(row)) - np.repeat(before[at:end] - before[at], n)
+        item, doc, start = block.holder[place], owner[row], hits[row] - block.offset[place]
+        order = np.lexsort((start, doc, item))
+        item, doc, start = item[order], doc[order], start[order]
+        slack = length[item] // 2 + 4
+        a = np.maximum(begin[doc], start - slack)
+        b = np.minimum(begin[doc + 1] - 1, start + length[item] + slack)
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (a[1:] > b[:-1])
+        opened = np.flatnonzero(new)
+        closed = np.append(opened[1:], len(item)) - 1
+        yield np.stack([item[opened], doc[opened], a[opened], b[closed]], axis=1)
+        at = end
+
+
 def alignments(texts, block: Block) -> list[list[tuple[int, float, int, int]]]:
     """For each text: (item_id, share of the perfect score, first word, end word) of each item found."""
     out: list[list[tuple[int, float, int, int]]] = [[] for _ in texts]
-    if not len(out) or not len(block.seed_grams):
+    if not len(out) or not len(block.grams):
         return out
     numbers, begin = block.number(texts)
-    keys = grams_of(numbers)
-    hits = found_in(keys, block.seed_grams)
-    owner = np.searchsorted(begin, hits, side="right") - 1
-    met: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for place, doc in zip(hits.tolist(), owner.tolist(), strict=True):
-        for item, offset in block.seeds[int(keys[place])]:
-            met[doc, item].append(place - offset)
-    for (doc, i), places in met.items():
-        item, top = block.items[i], (0, 0, 0)
-        low, high, slack = int(begin[doc]), int(begin[doc + 1]) - 1, len(block.items[i]) // 2 + 4
-        spans: list[list[int]] = []
-        for p in sorted(places):
-            a, b = max(low, p - slack), min(high, p + len(item) + slack)
-            if spans and a <= spans[-1][1]:
-                spans[-1][1] = max(b, spans[-1][1])
-            else:
-                spans.append([a, b])
-        for a, b in spans:
+    own, other = (np.zeros(len(block.vocabulary) + 1, bool) for _ in range(2))
+    for spans in spans_of(numbers, begin, block):
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        marked = -1
+        for i, doc, a, b in spans.tolist():
+            item = block.items[i]
+            if i != marked:
+                own[block.items[marked]] = False
+                own[item] = True
+                marked = i
+            if not can_reach(item, numbers[a:b], own, other):
+                continue
             score, end_item, end = smith_waterman(item, numbers[a:b])
-            if score > top[0]:
+            if score >= needed(len(item)) and score > best.get((doc, i), (0, 0, 0))[0]:
                 back = smith_waterman(item[:end_item][::-1], numbers[a : a + end][::-1])
-                top = (score, a + end - back[2] - low, a + end - low)
-        if top[0] >= needed(len(item)):
-            out[doc].append((block.ids[i], top[0] / (MATCH * len(item)), top[1], top[2]))
+                low = int(begin[doc])
+                best[doc, i] = (score, a + end - back[2] - low, a + end - low)
+        own[:] = False
+        for (doc, i), (score, first, end) in best.items():
+            out[doc].append((block.ids[i], score / (MATCH * len(block.items[i])), first, end))
     return [sorted(x) for x in out]
 
 
@@ -178,43 +217,14 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Blo
             yield block
 
 
-def seeded(documents: DataFrame, block: Block) -> Block:
-    """Count the block's sequences over all documents and choose its seeds."""
-    spark = documents.sparkSession
-    bound_batches(spark)
-    shared = spark.sparkContext.broadcast(block)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        total = np.zeros(len(own.grams), np.int64)
-        for batch in batches:
-            if len(batch):
-                numbers, begin = own.number(batch["text"])
-                keys = grams_of(numbers)
-                places = found_in(keys, own.grams)
-                owner = np.searchsorted(begin, places, side="right") - 1
-                kinds = np.searchsorted(own.grams, keys[places])
-                total += np.bincount(np.unique(owner * len(own.grams) + kinds) % len(own.grams), minlength=len(own.grams))
-        met = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": met, "n": total[met]})
-
-    counts = (
-        documents.select(F.col("text").cast("string").alias("text")).mapInPandas(count, "gram int, n long")
-        .groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-    )
-    frequency = np.zeros(len(block.grams), np.int64)
-    frequency[counts["gram"].to_numpy(dtype=int)] = counts["n"].to_numpy(dtype=int)
-    block.choose_seeds(frequency)
-    return block
-
-
 def contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): documents and the items that they hold."""
     spark = documents.sparkSession
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, item_id long, score double, first_word long, end_word long"
+    bound_batches(spark)
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(seeded(documents, block))
+        shared = spark.sparkContext.broadcast(block)
 
         def align(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -239,8 +249,9 @@ def clean_texts(shared):
 def keep_clean(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents that hold no test item."""
     spark, out = documents.sparkSession, documents
+    bound_batches(spark)
     for block in blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(seeded(documents, block))
+        shared = spark.sparkContext.broadcast(block)
         out = out.where(F.pandas_udf(clean_texts(shared), "boolean")(F.col("text").cast("string")))
     return out
 

@@ -343,3 +343,46 @@ def test_op10_finds_copies_and_spares_others(spark, given):
     assert {r["doc_id"] for r in clean.collect()} == {2, 3, 4, 5, 7}
     spot = next(r for r in got if r["doc_id"] == 6)
     assert (spot["first_word"], spot["end_word"], spot["score"]) == (20000, 20040, 1.0)
+
+
+@pytest.mark.parametrize("step", [4, 5])
+def test_op10_edited_copies_are_found_beside_verbatim_ones(spark, step):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    items = [[word() for _ in range(n)] for n in (20, 40, 59)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    edited = [" ".join("other" if at % step == step - 1 else w for at, w in enumerate(t)) for t in items]
+    for copies in (0, 1, 3):
+        texts = edited + [" ".join(t) for t in items] * copies
+        found = decontamination.contaminated(documents(spark, texts), bench).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i % 3) for i in range(len(texts))}
+    assert decontamination.keep_clean(documents(spark, texts), bench).count() == 0
+
+
+def test_op10_bound_never_loses_an_alignment():
+    """Every text that shares a sequence with an item is found exactly if its alignment reaches the needed score."""
+    rnd = random.Random(10)
+    few = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh"]
+    items = [[rnd.choice(few) + rnd.choice("xyz") for _ in range(rnd.randint(5, 60))] for _ in range(12)]
+    block = decontamination.Block.of([(i, " ".join(t)) for i, t in enumerate(items)])
+    texts = [None, ""]
+    for _ in range(150):
+        words = list(rnd.choice(items))
+        for _ in range(rnd.randint(0, len(words))):
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randint(0, 1)] = [rnd.choice(few) + rnd.choice("xyz")] * rnd.randint(0, 1)
+            words = words or ["none"]
+        texts.append(" ".join(words))
+    numbers, begin = block.number(texts)
+    want = [[] for _ in texts]
+    for item, doc, a, b in np.concatenate(list(decontamination.spans_of(numbers, begin, block))).tolist():
+        score = decontamination.smith_waterman(block.items[item], numbers[a:b])[0]
+        if score >= decontamination.needed(len(block.items[item])):
+            want[doc].append(item)
+    got = decontamination.alignments(texts, block)
+    assert [[x[0] for x in r] for r in got] == [sorted(set(x)) for x in want] and 50 < sum(map(len, got))
+    whole, decontamination.SLICE = decontamination.SLICE, 5
+    try:
+        assert decontamination.alignments(texts, block) == got
+    finally:
+        decontamination.SLICE = whole
