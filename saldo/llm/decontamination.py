@@ -1,6 +1,7 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits in lower case. Every three-word sequence of a test item is a seed, so what
+Words are runs of letters and digits in lower case; in scripts written without blanks each character is a word
+of its own. Every three-word sequence of a test item is a seed, so what
 is found in a document never depends on other documents. Documents meet items at a seed; the passage of
 the document around it is aligned with the whole item (match +2, other word -1, gap -1). A document is
 contaminated by an item if the local score reaches half of the item's perfect score, or 20 matched words.
@@ -39,7 +40,13 @@ ENOUGH_WORDS = 20
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
 SLICE = 1 << 20  # shared places of texts and items held at once, one text's at least
-WORD = re.compile(r"[^\W_]+")
+# Scripts that are written without blanks: Thai, Lao, Burmese, Khmer, kana, Han.
+NO_BLANKS = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e81-\u0ecd\u0ed0-\u0edf\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u17e0-\u17e9"
+    "\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+    "\U0001b000-\U0001b16f\U00020000-\U000323af"
+)
+WORD = re.compile(rf"[{NO_BLANKS}]|[^\W_{NO_BLANKS}]+")
 BITS = 21  # a word number of one block; three fit in 63 bits
 
 

@@ -386,3 +386,15 @@ def test_op10_bound_never_loses_an_alignment():
         assert decontamination.alignments(texts, block) == got
     finally:
         decontamination.SLICE = whole
+
+
+def test_op10_scripts_without_blanks(spark):
+    """Items of one clause are found also where they are edited or stand inside a longer clause."""
+    assert decontamination.words_of("GPT-4 是什么？Ünï カタ・ナ ไทย_x 한국어") == [
+        "gpt", "4", "是", "什", "么", "ünï", "カ", "タ", "ナ", "ไ", "ท", "ย", "x", "한국어"
+    ]
+    items = ["水在标准大气压下的沸点是一百摄氏度", "日本で一番高い山は富士山です。", "เมืองหลวงของประเทศไทยคือกรุงเทพมหานคร", "光合作用发生在哪里"]
+    texts = [f"他说{items[0]}对吗", items[0].replace("标准", "普通"), f"はい、{items[1]}そうです", f"ครับ{items[2]}ครับ", "今天的天气很好我们去公园散步", items[3]]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontamination.contaminated(documents(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3)}
