@@ -235,20 +235,33 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) with every found span replaced by its kind in brackets. Spans go from the last to the
-    first by start; one that overlaps a later one gives way to it."""
+    """(doc_id, text) with every found span replaced by its kind in brackets. Spans that overlap are replaced
+    together, by the kind of the one that starts first (the longest of those)."""
     found = find_personal_data(documents).select("row", "spans")
     texts = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
     names = F.array(*[F.lit(k) for k in KINDS])
-    by_start = F.array_sort("spans", lambda a, b: b["start"].cast("int") - a["start"].cast("int"))
+    # from the last to the first by start; `open` is the union that may still grow to the left
+    by_start = F.array_sort("spans", lambda a, b: F.when(
+        a["start"] != b["start"], (b["start"] - a["start"]).cast("int")
+    ).otherwise((a["end"] - b["end"]).cast("int")))
+
+    def state(text: Column, kind: Column, start: Column, end: Column) -> Column:
+        return F.struct(text.alias("t"), kind.cast("int").alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"))
+
+    def closed(s: Column) -> Column:
+        """The text with the open union replaced."""
+        return F.when(s["start"].isNull(), s["t"]).otherwise(F.concat(
+            F.substring(s["t"], F.lit(1), s["start"]), F.lit("["), F.get(names, s["kind"]), F.lit("]"),
+            F.substring(s["t"], s["end"] + 1, F.length(s["t"])),
+        ))
+
     cut = F.aggregate(
-        by_start, F.struct(F.col("text").alias("t"), F.lit(2**31 - 1).cast("long").alias("edge")),
-        lambda s, x: F.when(x["end"] <= s["edge"], F.struct(F.concat(
-            F.substring(s["t"], F.lit(1), x["start"].cast("int")), F.lit("["), F.get(names, x["kind"]), F.lit("]"),
-            F.substring(s["t"], x["end"].cast("int") + 1, F.length(s["t"])),
-        ).alias("t"), x["start"].cast("long").alias("edge"))).otherwise(s),
+        by_start, state(F.col("text"), F.lit(None), F.lit(None), F.lit(None)),
+        lambda s, x: F.when(x["end"] > s["start"], state(s["t"], x["kind"], x["start"], F.greatest(s["end"], x["end"].cast("int"))))
+        .otherwise(state(closed(s), x["kind"], x["start"], x["end"])),
+        closed,
     )
-    return texts.join(found, "row", "left").select("doc_id", cut["t"].alias("text"))
+    return texts.join(found, "row", "left").select("doc_id", cut.alias("text"))
 
 
 def op2_personal_data(documents: DataFrame) -> DataFrame:

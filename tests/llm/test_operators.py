@@ -398,3 +398,14 @@ def test_op10_scripts_without_blanks(spark):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     found = decontamination.contaminated(documents(spark, texts), bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3)}
+
+
+def test_op2_redact_leaves_nothing_of_overlapping_spans(spark):
+    texts = [
+        "write bob.4111111111111111@mail.com, or a@b.c and 1.2.3.4", "a@b.4111 1111 1111 1111 now", "4111111111111111@mail.com.",
+        "none", None, "a@b.c",
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(documents(spark, texts)).collect()}
+    assert got[0] == "write [email], or [email] and [ip]"
+    assert got[1] == "[email] now" and got[2] == "[email]."
+    assert [got[i] for i in (3, 4, 5)] == ["none", None, "[email]"]
