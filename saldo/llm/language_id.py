@@ -33,7 +33,7 @@ BUCKETS = 1 << 16
 SMOOTH = 0.1
 PENALTY = 2.0
 ROUNDS = 6
-FLOOR = 0.3
+FLOOR = 0.0
 UNKNOWN = "und"
 # ASCII signs and digits become blanks; letters and all bytes of other scripts stay.
 BLANKS = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
@@ -196,8 +196,8 @@ def op4_language(documents: DataFrame) -> DataFrame:
 
 
 def keep_known_language(documents: DataFrame, floor: float = FLOOR) -> DataFrame:
-    """Documents whose main language is known and holds at least `floor` of their words. The floor lies below
-    a half, and below a third, so that clean documents in two or three languages stay."""
+    """Documents whose main language is known. No share is asked for unless a `floor` is given: the smoothed share
+    falls with the number of labels and of languages in a text, so it says little about how clean a text is."""
     model = learn_outside(documents)
     found = language_of(documents.sparkSession, model, F.col("text"))
     return documents.where((found["lang"] != UNKNOWN) & (found["score"] >= floor))

@@ -409,3 +409,17 @@ def test_op2_redact_leaves_nothing_of_overlapping_spans(spark):
     assert got[0] == "write [email], or [email] and [ip]"
     assert got[1] == "[email] now" and got[2] == "[email]."
     assert [got[i] for i in (3, 4, 5)] == ["none", None, "[email]"]
+
+
+def test_language_floor_does_not_hang_on_labels_or_length(spark):
+    """Short texts among 20 labels, and a long text in four languages of equal share, are in known languages."""
+    rnd, names = random.Random(12), [f"l{i:02d}" for i in range(20)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {n: ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(30)] for n in names}
+    text = lambda n, k: " ".join(rnd.choice(words[n]) for _ in range(k))
+    rows = [(i, text(names[i % 20], 60), names[i % 20]) for i in range(400)]
+    rows += [(1000 + i, text(names[i % 20], 2), None) for i in range(20)]
+    rows += [(2000, "\n".join(text(n, 40) for n in names[:4]), None), (2001, "12 !?", None), (2002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.keep_known_language(docs).where("doc_id >= 1000").collect()}
+    assert kept == {*range(1000, 1020), 2000}
