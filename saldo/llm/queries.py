@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from saldo.llm.ann import op9_multi_index
+from saldo.llm.bbit_minhash import OP12_SQL, op12_bbit_minhash
+from saldo.llm.collocations import OP11_SQL, op11_collocations
 from saldo.llm.common import table
 from saldo.llm.decontamination import op10_decontaminate
+from saldo.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from saldo.llm.language_id import op4_language
 from saldo.llm.line_dedup import OP6_SQL, op6_site_lines
 from saldo.llm.pii import op2_personal_data
@@ -35,5 +38,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": over(op8_pieces, "documents"),
     "op9_multi_index": over(op9_multi_index, "embeddings"),
     "op10_decontaminate": over(op10_decontaminate, "documents", "benchmark"),
+    "op11_collocations": over(op11_collocations, "documents"),
+    "op12_bbit_minhash": over(op12_bbit_minhash, "documents"),
+    "op13_hard_negatives": over(op13_hard_negatives, "embeddings"),
+}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": OP1_SQL, "op6_site_lines": OP6_SQL, "op11_collocations": OP11_SQL, "op12_bbit_minhash": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
-ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_site_lines": OP6_SQL}
