@@ -78,7 +78,7 @@ class Words:
         """Distinct phrases of `length` words (rows of word numbers) and their counts. Those that end in
         what an earlier slice has counted are left out, as are those with a word not kept."""
         ids = np.array(self.ids, np.int64)
-        if len(ids) < length:
+        if len(ids) < length or not self.number:
             return np.zeros((0, length), np.int64), np.zeros(0, np.int64)
         columns = [ids[i : len(ids) - length + 1 + i] for i in range(length)]
         fine = np.arange(length - 1, len(ids)) >= self.carried

@@ -96,7 +96,7 @@ def packed(size: int):
     """Rows in the order of (bucket, length), packed into blocks of `size` vectors of one bucket and length."""
 
     def bytes_of(vectors: list[np.ndarray], dims: int) -> tuple[bytes, str]:
-        body = np.array(vectors, np.int64).reshape(-1, dims)
+        body = np.array(vectors, np.int64).reshape(len(vectors), dims)
         top = max(abs(int(body.min())), abs(int(body.max()))) if body.size else 0
         kind = "int16" if top < 1 << 15 else "int32" if top < 1 << 31 else "int64"
         return body.astype(kind).tobytes(), kind

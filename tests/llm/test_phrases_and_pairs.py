@@ -199,6 +199,7 @@ def test_op13_is_brute_force(spark, block, monkeypatch):
     rows += [(i, 1, [1.0, bad, 1.0, 1.0]) for i, bad in ((400_000, None), (500_000, float("nan")), (600_000, float("inf")))]
     rows += [(i, i % 3, [float(i % 5), 1.0]) for i in range(10_000, 10_220, 4)] + [(20_000, 1, []), (20_001, 1, []), (20_002, 2, [])]
     rows += [(30_000 + i, i % 2, [1e30, -1e25, 1e17 * i]) for i in range(0, 120, 20)]
+    rows += [(40_000 + 20 * i, i % 2, [1e7 - 6e5 * i, 1.0, -1.0, 0.5, 3.0]) for i in range(16)]  # beyond 64 bits a field
     frame = spark.createDataFrame([(i, l, v, 1, 2) for i, l, v in rows], "vec_id long, label int, embedding array<double>, bucket int, rank int")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     named = frame.select("vec_id", label.alias("label"), F.col("embedding").alias("v"), "bucket", "rank")
