@@ -12,12 +12,13 @@ below the limit with probability LOSS at most; above the threshold both are smal
 Links that only join what is joined already are not looked for: components are the result. So a band key's members
 are first linked to one of them, picked by chance for each key (a star, not all pairs). What one
 component holds then needs no more. Only in keys whose members are still in several components, pairs across components
-are compared: directly in keys of at most CROWD members, in larger ones by the bit counts of whole blocks of
-signatures, so that only pairs with a high enough estimate leave the task.
+are compared: directly in keys of at most CROWD members, in larger ones if they share one of their rarest shingles, as
+every pair at the threshold does.
 
 Scale: signatures and keys are some 1 KB a distinct set; copies cost one row. Sets are built again, from the texts, for
-the documents that are in a candidate pair, which a bounded bitmap lets through. Blocks of a crowded key are dealt over
-tasks; its cost is that of its members outside its largest component times all its members.
+the documents that are in a candidate pair or an open band, which a bounded bitmap lets through. A crowd of edited copies
+costs its shingles once: those far from all others have too many shingles of their own to meet anyone, and the
+others are mostly in one component.
 
 Defined cases: null or empty text, or one without words, has an empty set and is linked with nothing. Repeated rows are
 rows of their own with one component. A null doc_id gets the least known doc_id of its component, null if there is
@@ -34,6 +35,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from saldo.llm.bitmap import bitmap, passes
 from saldo.llm.common import bound_batches
@@ -47,8 +49,7 @@ ROWS = 5
 BANDS = 40
 BIT = 4
 LOSS = 1e-10
-CROWD = 64
-BLOCK = 512
+CROWD = 16
 PLANES = ROWS * BANDS
 FIELDS = 64 // BIT
 WORDS = ceil(PLANES / FIELDS)
@@ -91,6 +92,12 @@ def set_key(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes(), SEED)
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def tokens(hashes: pd.Series) -> pd.Series:
+    """The shingle hashes of a packed set."""
+    return pd.Series([np.frombuffer(x, np.int64) for x in hashes])
+
+
 def estimate(agree: float) -> float:
     """Similarity from the number of agreeing fields, corrected for agreement by chance."""
     chance = 2.0**-BIT
@@ -150,9 +157,10 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
     return both.where(sizes & (agreeing(F.col("a_s"), F.col("b_s")) >= fewest_agreeing(least))).select("a", "b")
 
 
-def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(key, hashes) of the wanted (key, doc_id), built from the texts."""
+def full_sets(documents: DataFrame, sketches: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """(key, hashes) of the wanted keys, built from the texts."""
     spark = documents.sparkSession
+    wanted = staged(sketches.select("key", "doc_id").join(keys, "key", "left_semi"), "wanted-sets")
     name = lambda key, doc_id: F.concat(key, F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     allowed = bitmap(wanted, name(F.col("key"), F.col("doc_id")))
 
@@ -172,11 +180,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return staged(built.dropDuplicates(["key"]), "full-sets")
 
 
-def confirmed(pairs: DataFrame, sketches: DataFrame, documents: DataFrame, least: int, size: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) that reach the threshold on their full sets, staged."""
-    pairs = staged(pairs, "likely-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = full_sets(documents, staged(sketches.select("key", "doc_id").join(ends, "key", "left_semi"), "wanted-sets"), size)
 
     @F.pandas_udf("boolean")
     def close(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -197,65 +202,44 @@ def in_order(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def crowded_pairs(members: DataFrame, least: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) across components, of members (band, key, class, n, signature), whose estimate is high enough. Members of a
-    band outside its largest component come in blocks that meet blocks of all its members."""
-    limit = fewest_agreeing(least)
-    spark = members.sparkSession
-    counts = members.groupBy("band", "class").agg(F.count("*").alias("c"))
-    size = counts.groupBy("band").agg(F.max_by("class", F.struct("c", "class")).alias("main"), F.sum("c").alias("m"))
-    dealt = members.join(staged(size, "crowded-bands"), "band").withColumn(
-        "part", F.pmod(F.xxhash64("key"), F.ceil(F.col("m") / block))
-    )
-    packing = "band long, part long, keys binary, classes binary, sizes binary, signatures binary"
+def rarest(members: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(token, key, weight, n, place): the shingles in which members of crowded band keys must meet a partner. A partner lacks at most
+    n - ceil(n * least / 100) of a set's n shingles, so one more than those are enough; each set lists its rarest.
+    Shingles that no other member has end there, and with them the sets that differ in more places than the threshold
+    allows. `weight` is high for sets in the midst of a crowd, all of whose shingles are frequent."""
+    held = members.join(sets, "key").select("key", F.explode(tokens(F.col("hashes"))).alias("token"))
+    held = staged(held, "crowd-shingles")
+    df = staged(held.groupBy("token").agg(F.count("*").alias("df")), "crowd-frequencies")
+    rare = held.join(df, "token").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("all"))
+    n = F.size("all")
+    first = rare.select("key", n.alias("n"), F.slice("all", F.lit(1), n - F.ceil(n * least / 100).cast("int") + 1).alias("first"))
+    weight = F.aggregate("first", F.lit(0).cast("long"), lambda total, t: total + t["df"])
+    listed = first.select("key", "n", weight.alias("weight"), F.posexplode("first").alias("place", "t"))
+    return staged(listed.where("t.df > 1").select("key", "n", "weight", "place", F.col("t.token").alias("token")), "crowd-prefixes")
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, at = [], None
 
-        def out():
-            return pd.DataFrame([(*at, b"".join(x.key for x in held), b"".join(getattr(x, "class_") for x in held),
-                                  np.array([x.n for x in held], np.int64).tobytes(),
-                                  np.array([x.signature for x in held], np.int64).tobytes())],
-                                columns=[c.split()[0] for c in packing.split(", ")])
+def with_class(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of a set key with its present component."""
+    found = staged(components(links, "a", "b"), "present-classes")
+    held = rows.join(found.select(F.col("node").alias("key"), F.col("least").alias("class")), "key", "left")
+    return staged(held.withColumn("class", F.coalesce("class", "key")), "classed")
 
-        for batch in batches:
-            for row in batch.rename(columns={"class": "class_"}).itertuples(index=False):
-                if held and (at != (row.band, row.part) or len(held) >= block):
-                    yield out()
-                    held = []
-                at = (row.band, row.part)
-                held.append(row)
-        if held:
-            yield out()
-
-    def blocks(rows: DataFrame) -> DataFrame:
-        together = rows.select("band", "part", "key", "class", "n", "signature").repartition("band", "part")
-        return staged(together.sortWithinPartitions("band", "part").mapInPandas(pack, packing), "signature-blocks")
 
-    bound_batches(spark)
-    every, few = blocks(dealt), blocks(dealt.where(F.col("class") != F.col("main")))
-    tiles = few.select("band", *[F.col(c).alias(f"f_{c}") for c in ("keys", "classes", "sizes", "signatures")]).repartition(
-        F.col("band"), F.xxhash64("f_keys")
-    ).join(every.drop("part"), "band")
+def across(rows: DataFrame, group: str) -> DataFrame:
+    """The rows of groups whose members are in several components."""
+    several = rows.groupBy(group).agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    return staged(rows.join(staged(several.select(group), "open-groups"), group, "left_semi"), "open-rows")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for t in batch.itertuples():
-                keys, other = (np.frombuffer(x, "V16") for x in (t.f_keys, t.keys))
-                own, theirs = (np.frombuffer(x, "V16") for x in (t.f_classes, t.classes))
-                n, m = (np.frombuffer(x, np.int64) for x in (t.f_sizes, t.sizes))
-                a, b = (np.frombuffer(x, np.uint64).reshape(-1, WORDS) for x in (t.f_signatures, t.signatures))
-                for i in range(len(keys)):
-                    x = b ^ a[i]
-                    any_bit = x.copy()
-                    for shift in range(1, BIT):
-                        any_bit |= x >> np.uint64(shift)
-                    agree = PLANES - np.bitwise_count(any_bit & np.uint64(LOW)).sum(axis=1, dtype=np.int64)
-                    fits = (agree >= limit) & (100 * np.minimum(n[i], m) >= least * np.maximum(n[i], m)) & (theirs != own[i])
-                    if fits.any():
-                        yield pd.DataFrame({"a": keys[i].tobytes(), "b": [x.tobytes() for x in other[fits]]})
-
-    return tiles.mapInPandas(compare, "a binary, b binary")
+
+def pairs_across(rows: DataFrame, group: str, least: int | None = None) -> DataFrame:
+    """Pairs (a, b) of a group that are in different components. With `least`, `n` and `place` tell sizes and where the shared
+    shingle stands: what stands behind it on the shorter side is all that two sets can share besides, if it is their first."""
+    other = rows.select(*[F.col(c).alias(f"o_{c}") for c in rows.columns])
+    apart = (rows[group] == other[f"o_{group}"]) & (rows["key"] < other["o_key"]) & (rows["class"] != other["o_class"])
+    if least is not None:
+        behind = F.least(rows["n"] - rows["place"], other["o_n"] - other["o_place"])
+        apart = apart & (behind * (100 + least) >= (rows["n"] + other["o_n"]) * least)
+    return rows.join(other, apart).select(F.col("key").alias("a"), F.col("o_key").alias("b")).distinct()
 
 
 def classes(sketches: DataFrame, documents: DataFrame, least: int, size: int, crowd: int = CROWD) -> DataFrame:
@@ -264,21 +248,21 @@ def classes(sketches: DataFrame, documents: DataFrame, least: int, size: int, cr
     pivot = listed.groupBy("band").agg(F.count("*").alias("m"), F.min_by("key", F.xxhash64("band", "key")).alias("pivot"))
     shared = staged(listed.join(staged(pivot.where("m > 1"), "shared-bands"), "band"), "band-members")
     stars = in_order(shared.select(F.col("key").alias("a"), F.col("pivot").alias("b")))
-    links = confirmed(likely(stars, sketches, least), sketches, documents, least, size)
-    found = staged(components(links, "a", "b"), "star-classes")
-    held = shared.join(found.select(F.col("node").alias("key"), F.col("least").alias("class")), "key", "left")
-    held = staged(held.withColumn("class", F.coalesce("class", "key")), "classed-members")
-    several = held.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    open_ = staged(held.join(staged(several.select("band"), "open-bands"), "band", "left_semi"), "open-members")
+    stars = staged(likely(stars, sketches, least), "likely-stars")
+    ends = stars.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    links = confirmed(stars, full_sets(documents, sketches, ends, size), least)
     # a star of two has been compared in whole
-    few = open_.where((F.col("m") > 2) & (F.col("m") <= crowd)).select("band", "key", "class", "pivot")
-    apart = few.join(few.select("band", F.col("key").alias("b"), F.col("class").alias("c")), "band").where(
-        (F.col("class") != F.col("c")) & (F.col("key") < F.col("b")) & (F.col("key") != F.col("pivot")) & (F.col("b") != F.col("pivot"))
-    )
-    direct = likely(in_order(apart.select(F.col("key").alias("a"), "b")), sketches, least)
-    many = open_.where(F.col("m") > crowd).select("band", "key", "class").join(sketches.select("key", "n", "signature"), "key")
-    rest = in_order(crowded_pairs(staged(many, "crowded-members"), least))
-    more = confirmed(direct.unionByName(rest).distinct(), sketches, documents, least, size)
+    open_ = across(with_class(shared.where("m > 2").drop("pivot"), links), "band")
+    small, many = open_.where(F.col("m") <= crowd), staged(open_.where(F.col("m") > crowd).select("key").distinct(), "crowded-members")
+    sets = full_sets(documents, sketches, open_.select("key").distinct(), size)
+    listed = rarest(many, sets, least)
+    # in crowds, a star around the most central set of each shingle first
+    centre = staged(listed.groupBy("token").agg(F.max_by("key", F.struct("weight", "key")).alias("pivot")), "centres")
+    starred = across(with_class(listed, links), "token").join(centre, "token")
+    stars = in_order(starred.select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+    links = staged(links.unionByName(confirmed(likely(stars, sketches, least), sets, least)), "links")
+    rest = pairs_across(small, "band").unionByName(pairs_across(across(with_class(listed, links), "token"), "token", least)).distinct()
+    more = confirmed(likely(rest, sketches, least), sets, least)
     return components(links.unionByName(more), "a", "b").select(F.col("node").alias("key"), F.col("least").alias("class"))
 
 
