@@ -28,6 +28,7 @@ none; `kept` is then true only if the component has no known doc_id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 from math import ceil, exp, log
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from saldo.llm.bitmap import bitmap, passes
+from saldo.llm.bitmap import MASK, bitmap, passing
 from saldo.llm.common import bound_batches
 from saldo.llm.components import components
 from saldo.session import staged
@@ -55,7 +56,7 @@ FIELDS = 64 // BIT
 WORDS = ceil(PLANES / FIELDS)
 LOW = sum(1 << BIT * i for i in range(FIELDS))
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-FACTORS = np.random.default_rng(12).integers(0, 1 << 63, PLANES, np.uint64) * np.uint64(2) + np.uint64(1)
+FACTORS = np.random.default_rng(12).integers(0, 1 << 31, PLANES, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -63,22 +64,23 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     words = text.translate(LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    join, digest = b" ".join, xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(join(words[i : i + size]), SEED) for i in range(max(1, len(words) - size + 1))], np.uint64))
+    join, digest = b" ".join, xxhash.xxh64_digest
+    hashes = b"".join([digest(join(words[i : i + size]), SEED) for i in range(max(1, len(words) - size + 1))])
+    return np.unique(np.frombuffer(hashes, np.uint64))
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
-    """The least value of every plane, over a set of hashes."""
-    out = np.full(PLANES, ~np.uint64(0))
-    for start in range(0, len(hashes), 1024):
-        np.minimum(out, (hashes[start : start + 1024, None] * FACTORS).min(axis=0), out=out)
+    """The least value of every plane, over a set of hashes; planes mix half a hash, which is fast."""
+    out, half = np.full(PLANES, ~np.uint32(0)), hashes.astype(np.uint32)
+    for start in range(0, len(half), 256):
+        np.minimum(out, (half[start : start + 256, None] * FACTORS).min(axis=0), out=out)
     return out
 
 
 def pack_low_bits(least: np.ndarray) -> np.ndarray:
     """BIT bits of every minimum, FIELDS to a word."""
     low = np.zeros(WORDS * FIELDS, np.uint64)
-    low[:PLANES] = (least ^ least >> np.uint64(32)) & np.uint64((1 << BIT) - 1)
+    low[:PLANES] = (least ^ least >> np.uint32(16)) & np.uint32((1 << BIT) - 1)
     return np.bitwise_or.reduce(low.reshape(WORDS, FIELDS) << np.arange(0, 64, BIT, dtype=np.uint64), axis=1)
 
 
@@ -115,8 +117,15 @@ def fewest_agreeing(least: int = LEAST, loss: float = LOSS) -> int:
     return 0
 
 
+def texts_of(documents: DataFrame) -> DataFrame:
+    """(doc_id, name, text): ids go through Python as text, so that none of them becomes a float beside a null; `name` tells
+    documents apart but for rare chance."""
+    doc_id, text = F.col("doc_id").cast("string"), F.col("text").cast("string")
+    return documents.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("name"), text.cast("binary").alias("text"))
+
+
 def sketch(spark: SparkSession, documents: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, key, signature, bands) of every document; the last three null for empty sets."""
+    """(doc_id, name, n, key, signature, bands) of every document; the last three null for empty sets."""
     bound_batches(spark)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,11 +138,11 @@ def sketch(spark: SparkSession, documents: DataFrame, size: int) -> DataFrame:
                     least = minima(hashes)
                     seen[key] = (pack_low_bits(least).view(np.int64), np.array(band_keys(least), np.int64))
                 out.append((len(hashes), key, *seen.get(key, (None, None))))
-            yield pd.concat([batch[["doc_id"]], pd.DataFrame(out, columns=["n", "key", "signature", "bands"], index=batch.index)], axis=1)
+            yield pd.concat([batch[["doc_id", "name"]], pd.DataFrame(out, columns=["n", "key", "signature", "bands"], index=batch.index)], axis=1)
 
-    # ids go through Python as text, so that none of them becomes a float beside a null
-    texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    found = texts.mapInPandas(rows, "doc_id string, n long, key binary, signature array<long>, bands array<long>")
+    found = texts_of(documents).mapInPandas(
+        rows, "doc_id string, name long, n long, key binary, signature array<long>, bands array<long>"
+    )
     return found.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
 
 
@@ -160,23 +169,18 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
 def full_sets(documents: DataFrame, sketches: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """(key, hashes) of the wanted keys, built from the texts."""
     spark = documents.sparkSession
-    wanted = staged(sketches.select("key", "doc_id").join(keys, "key", "left_semi"), "wanted-sets")
-    name = lambda key, doc_id: F.concat(key, F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    allowed = bitmap(wanted, name(F.col("key"), F.col("doc_id")))
+    wanted = staged(sketches.select("key", "name").join(keys, "key", "left_semi"), "wanted-sets")
+    allowed = bitmap(wanted, F.col("name").bitwiseAND(F.lit(MASK)))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                hashes = shingle_set(text, size)
-                key = set_key(hashes)
-                if len(hashes) and passes(allowed.value, key + (doc_id or "").encode()):
-                    out.append((key, hashes.tobytes()))
-            yield pd.DataFrame(out, columns=["key", "hashes"])
+            texts = batch["text"][passing(allowed.value, batch["name"].to_numpy() & MASK)]
+            found = [x for x in map(shingle_set, texts, repeat(size)) if len(x)]
+            yield pd.DataFrame({"key": [set_key(x) for x in found], "hashes": [x.tobytes() for x in found]})
 
-    texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     bound_batches(spark)
-    built = texts.mapInPandas(rows, "key binary, hashes binary").join(wanted.select("key"), "key", "left_semi")
+    built = texts_of(documents).select("name", "text").mapInPandas(rows, "key binary, hashes binary")
+    built = built.join(wanted.select("key"), "key", "left_semi")
     return staged(built.dropDuplicates(["key"]), "full-sets")
 
 
@@ -272,7 +276,7 @@ def near_duplicates(documents: DataFrame, least: int = LEAST, size: int = SHINGL
     every = staged(sketch(spark, documents, size), "document-sketches")
     rows = every.select("doc_id", "n", "key")
     one = every.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("doc_id"), F.min("name").alias("name"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
     )
     sketches = staged(one, "set-sketches")
     found = staged(classes(sketches, documents, least, size, crowd), "classes")

@@ -25,9 +25,9 @@ def bit_of_bytes(key: bytes) -> int:
     return xxhash.xxh64_intdigest(key, 42) & MASK
 
 
-def bitmap(keys: DataFrame, key: Column) -> Broadcast:
-    """Broadcast bitmap of a key column, as 2 ** BITS / 64 words."""
-    bits = keys.select(bit_of(key).alias("bit"))
+def bitmap(keys: DataFrame, bit: Column) -> Broadcast:
+    """Broadcast bitmap of a column of bit numbers, as 2 ** BITS / 64 words."""
+    bits = keys.select(bit.alias("bit"))
     word = F.shiftright("bit", 6)
     words = bits.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
     found = words.toPandas()
@@ -39,3 +39,8 @@ def bitmap(keys: DataFrame, key: Column) -> Broadcast:
 def passes(words: np.ndarray, key: bytes) -> bool:
     bit = bit_of_bytes(key)
     return bool(int(words[bit >> 6]) >> (bit & 63) & 1)
+
+
+def passing(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the bits are set."""
+    return (words[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).astype(bool)

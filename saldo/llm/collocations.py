@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saldo.llm.bitmap import bitmap, passes
+from saldo.llm.bitmap import bit_of, bitmap, passes
 from saldo.llm.common import bound_batches
 from saldo.session import staged
 
@@ -154,9 +154,9 @@ def key_bytes(lang: str, phrase: bytes) -> bytes:
     return lang.encode() + b"\t" + phrase
 
 
-def key(lang: Column, phrase: Column) -> Column:
-    """What bitmaps know a phrase by."""
-    return F.concat(lang.cast("binary"), F.lit(b"\t"), phrase.cast("binary"))
+def phrase_bit() -> Column:
+    """The bit of a (lang, phrase), as `key_bytes` has it."""
+    return bit_of(F.concat(F.col("lang").cast("binary"), F.lit(b"\t"), F.col("phrase").cast("binary")))
 
 
 def count_phrases(texts: DataFrame, length: int, words: Broadcast | None = None, pairs: Broadcast | None = None, size: int = SLICE) -> DataFrame:
@@ -198,7 +198,7 @@ def reaching(rows: DataFrame, value: str, count: Column) -> DataFrame:
 
 def pairs_of(words: DataFrame, texts: DataFrame, fewest: int, size: int) -> DataFrame:
     """(lang, phrase, a, l, r, score, bound) of all two-word candidates."""
-    known = bitmap(words, key(F.col("lang"), F.col("phrase")))
+    known = bitmap(words, phrase_bit())
     counts = count_phrases(texts, 2, known, size=size).where(F.col("f") >= fewest)
     held = staged(counts.withColumns({
         "x": F.substring_index("phrase", " ", 1), "y": F.substring_index("phrase", " ", -1),
@@ -242,7 +242,7 @@ def collocations(
     every = staged(count_phrases(texts, 1, size=size), "words")
     totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
     words = staged(every.where(F.col("f") >= fewest), "frequent-words")
-    known = bitmap(words, key(F.col("lang"), F.col("phrase")))
+    known = bitmap(words, phrase_bit())
     pairs = staged(pairs_of(words, texts, fewest, size), "pair-scores")
     opened, settled, triples, number, want = None, None, None, 0, wave
     while True:
@@ -266,7 +266,7 @@ def collocations(
             continue
         opened = fresh if opened is None else staged(opened.unionByName(fresh), "all-opened")
         marked = staged(pairs.join(opened, ["lang", "phrase"], "left"), "marked-pairs")
-        filter_ = bitmap(fresh, key(F.col("lang"), F.col("phrase")))
+        filter_ = bitmap(fresh, phrase_bit())
         counts = staged(count_phrases(texts, 3, known, filter_, size).where(F.col("f") >= fewest), "triples")
         # a phrase with a part opened before has been counted then
         grown = triples_of(counts, marked, words).where(F.col("wave") == number).drop("wave", "head_wave")
