@@ -26,6 +26,26 @@ def priced(rule: str, text: bool) -> str:
         left join r b on b.kodtov = k.kodtov and b.k = 2"""
 
 
+def priced_lines(now: str) -> str:
+    """Both prices of every line by asking for its own moment; ``now`` is the rule for the present price."""
+    newest = "order by p.data desc, p.id desc limit 1"
+    return f"""
+        with l as (select l_orderkey, l_linenumber, cast(l_suppkey as string) as kodtov,
+                          timestamp '2024-01-01' + ((dayofyear(l_shipdate) - 1) * 4 + l_linenumber) * interval 1 hour
+                          + cast(l_quantity as int) * interval 1 minute as moment from lineitem),
+             asked as (select distinct kodtov, moment from l),
+             one as (select q.kodtov, q.moment, a.cena, a.data from asked q left join lateral
+                         (select * from {{ch_price}} p where p.kodtov = q.kodtov and {now} {newest}) a on true),
+             days as (select distinct kodtov, cast(data as date) as d from one where data is not null),
+             two as (select q.kodtov, q.d, b.cena, b.data from days q left join lateral
+                         (select * from {{ch_price}} p where p.kodtov = q.kodtov and p.data < q.d {newest}) b on true)
+        select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l.kodtov, {TIME.format('l.moment')} as moment,
+               cast(a.cena as double) as price, {TIME.format('a.data')} as price_date,
+               cast(b.cena as double) as previous_price, {TIME.format('b.data')} as previous_date
+        from l left join one a on a.kodtov = l.kodtov and a.moment = l.moment
+        left join two b on b.kodtov = a.kodtov and b.d = cast(a.data as date)"""
+
+
 ORDERS = f"""o_orderkey, o_custkey, o_orderstatus, o_totalprice,
     {TIME.format('o_orderdate')} as o_orderdate, o_orderpriority"""
 EVENTS = f"event_id, {TIME.format('ts')} as ts, user_id, event_type, value, props"
@@ -42,6 +62,15 @@ S = "s.datname, s.usename, s.application_name, s.state as state_q, s.query"
 PROCESSES = f"select m.pid, {S}, {M} from {{proc_metrics}} m left join {{sessions}} s on s.pid = m.pid"
 HISTORY = f"""{TIME.format('ts')} as ts, pid, datname, usename, application_name, state_q, query,
     {METRICS}"""
+NEWEST_LINES = f"""
+        select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber,
+               l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+               {TIME.format('l_shipdate')} as l_shipdate
+        from (select *, row_number() over (partition by l_orderkey, l_linenumber
+                  order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc,
+                           l_quantity desc, l_discount desc, l_tax desc, l_returnflag desc,
+                           l_linestatus desc) as rn from lineitem) x
+        where rn = 1"""
 LOCAL = local4("org4", "rate4")
 
 QUERIES = {
@@ -81,18 +110,13 @@ QUERIES = {
     "superseded_rows": f"select {ORDERS} from orders o where {NEWER}",
     "exact_duplicates": f"select {FOUR}, count(*) as copies from {{operations}} group by all",
     "distinct_rows": f"select distinct {FOUR} from {{operations}}",
-    "bulk_dedup_slices": f"""
-        select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber,
-               l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-               {TIME.format('l_shipdate')} as l_shipdate
-        from (select *, row_number() over (partition by l_orderkey, l_linenumber
-                  order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc,
-                           l_quantity desc, l_discount desc, l_tax desc, l_returnflag desc,
-                           l_linestatus desc) as rn from lineitem) x
-        where rn = 1""",
+    "bulk_dedup_slices": NEWEST_LINES,
+    "bulk_dedup_in_place": NEWEST_LINES,
     "price_before_day": priced("data < timestamp '2024-01-16 00:00:00'", text=False),
     "price_next_day_effective": priced(
         "cast(cast(data as date) + 1 as timestamp) <= timestamp '2024-01-16 00:00:01'", text=True),
+    "price_of_lines_effective": priced_lines("p.data < cast(q.moment as date)"),
+    "price_of_lines_before": priced_lines("p.data < q.moment"),
     "lookup_policies": """
         select c.c_custkey as pid, coalesce(e.event_type, 'XXXX') as kept, e.event_type,
                o.org_name as single
@@ -183,6 +207,12 @@ QUERIES = {
                                when cast(ts as date) = date '2024-01-31' then '2024-01-31'
                                else '__default__' end as day
         from {{history}}""",
+    "snapshot_history": f"""
+        select '2024-01-30 12:00:00.000000' as ts, pid, datname, usename, application_name, state_q,
+               query, {METRICS}, '2024-01-30' as day from ({PROCESSES}) v
+        union all
+        select {HISTORY}, cast(cast(ts as date) as string) as day from {{history}}
+        where cast(ts as date) >= date '2024-01-27'""",
     "snapshot_route": f"""
         select {TIME.format('ts')} as ts, pid,
                case when cast(ts as date) in (date '2024-01-15', date '2024-01-16')

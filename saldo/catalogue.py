@@ -107,6 +107,17 @@ def bulk_dedup_slices(t):
     return dedup.bulk_dedup(t["lineitem"], ["l_orderkey", "l_linenumber"], order, 8)
 
 
+@query
+def bulk_dedup_in_place(t):
+    """A stored table in slices, cleaned where it lies."""
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus"]
+    path = scratch_path(t.spark, "sliced")
+    keys = ["l_orderkey", "l_linenumber"]
+    dedup.lay_in_slices(t["lineitem"], path, keys, 8)
+    return dedup.dedup_in_place(t.spark, path, keys, order, 8).drop(dedup.SLICE)
+
+
 # ---- prices, lookups, chains, ids -----------------------------------------------------------
 
 
@@ -120,6 +131,25 @@ def price_next_day_effective(t):
     return pricing.price_effective(t["k_kodtov"], t["ch_price"], datetime(2024, 1, 16, 0, 0, 1))
 
 
+def price_lines(t):
+    """Ledger lines of the suppliers' goods, with a moment in the first months of the price history."""
+    hours = (F.dayofyear("l_shipdate") - 1) * 4 + F.col("l_linenumber")
+    moment = F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(hours=hours, mins=F.col("l_quantity").cast("int"))
+    return t["lineitem"].select("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("kodtov"), moment.alias("moment"))
+
+
+@query
+def price_of_lines_effective(t):
+    """Every line with the price valid on its own day and the one before."""
+    return pricing.prices_effective(price_lines(t), t["ch_price"], "moment")
+
+
+@query
+def price_of_lines_before(t):
+    """Every line with the last price before its own moment and that of an earlier day."""
+    return pricing.prices_before(price_lines(t), t["ch_price"], "moment")
+
+
 @query
 def lookup_policies(t):
     names = t["events"].select(F.col("user_id").alias("pid"), "event_type", "ts", "event_id")
@@ -402,6 +432,22 @@ def snapshot_append(t):
     return snapshots.read_history(t.spark, path, HISTORY_SCHEMA)
 
 
+@query
+def snapshot_history(t):
+    """One history that the nightly job and the stream write, each twice, with retention and a read."""
+    path, seen = scratch_path(t.spark, "history"), scratch_path(t.spark, "seen")
+    view = snapshots.process_sessions(t["sessions"], t["proc_metrics"])
+    events = read_stream(t.spark, t.folder, t["events"].schema, "events.parquet")
+    history = t.spark.sql(view_text("history", "spark"), events=events)
+    january = [date(2024, 1, day) for day in range(1, 31)]
+    for _ in range(2):
+        snapshots.append_snapshot(view, SNAPSHOT_AT, snapshots.open_days_at(AS_OF), path)
+        stream_snapshots(history, path, seen, lambda: january).awaitTermination()
+        snapshots.append_snapshot(view, datetime(2024, 1, 2, 3, 4, 5), january, path)
+    snapshots.retain(t.spark, path, AS_OF, 3)
+    return snapshots.read_history(t.spark, path, HISTORY_SCHEMA)
+
+
 @query
 def snapshot_route(t):
     return snapshots.route(t["history"], snapshots.open_days_at(MIDDLE)).select("ts", "pid", "day")

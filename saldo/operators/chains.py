@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.operators.guards import require_unique
-from saldo.session import staged
+from saldo.session import scratch_path, staged
 
 
 def chain_of(edges: DataFrame, hops: int) -> DataFrame:
@@ -55,43 +53,52 @@ def change_decision(cards: DataFrame, edges: DataFrame, hops: int = 5, months: i
 
 
 def chain_closure(edges: DataFrame) -> DataFrame:
-    """Length and last card of the chain that starts at every card.
+    """Length and last card of the chain that starts at every card; ``cyclic``, without length and last card, where
+    the chain is a ring or runs into one.
 
-    Pointer doubling: after round r a pointer spans 2^r hops, so the number of rounds is the
-    logarithm of the longest chain. A round joins and writes only pointers that can still move;
-    those that have arrived stay in the round's table in which they did. A pointer that still moves once 2^r exceeds the number of
-    cards is on a cycle or runs into one: ``cyclic``, without length and last card.
+    Pointer doubling: after round r a pointer spans 2^r hops and knows the least card it has passed. On a ring no longer
+    than that, the least card of the ring has passed itself; it leads the ring, and every pointer that has passed a leader
+    as its own least is cyclic, as is in the next round every pointer that lands on a cyclic card. So the number of
+    rounds is the logarithm of the longest chain, ring or tail, whatever the number of cards. A round joins and writes
+    only pointers that can still move; those that have arrived go to one table, each once.
     """
+    spark = edges.sparkSession
     hops = require_unique(
         edges.select(F.col("old_card").alias("card"), F.col("new_card").alias("last")), ["card"]
-    ).withColumn("length", F.lit(1).cast("long"))
+    ).withColumns({"length": F.lit(1).cast("long"), "least": F.col("last")})
     # a pointer to a card that was never replaced has arrived
     olds = hops.select(F.col("card").alias("last"), F.lit(True).alias("moves"))
-    first = staged(
+    moved = staged(
         hops.join(olds, "last", "left").select(
-            "card", "last", "length", F.coalesce("moves", F.lit(False)).alias("moves")
+            "card", "last", "length", "least", F.coalesce("moves", F.lit(False)).alias("moves")
         ), "hops",
-    )
-    cards = first.count()
-    arrived, moving = [first.filter("not moves")], first.filter("moves")
-    span = 1
-    while span <= cards and not moving.isEmpty():
-        ahead = reduce(DataFrame.unionByName, arrived, moving).select(
-            F.col("card").alias("last"), F.col("last").alias("far"),
-            F.col("length").alias("more"), F.col("moves").alias("on"),
+    ).withColumn("cyclic", F.lit(False))
+    path = scratch_path(spark, "arrived")
+    while True:
+        # one row per ring: the card that has passed itself
+        leaders = moved.filter("moves and least = card").select(F.col("card").alias("least"), F.lit(True).alias("ring"))
+        marked = moved.join(leaders, "least", "left").withColumn(
+            "cyclic", F.col("cyclic") | (F.col("moves") & F.coalesce("ring", F.lit(False)))
         )
-        moved = moving.join(ahead, "last").select(
-            "card", F.col("far").alias("last"), (F.col("length") + F.col("more")).alias("length"),
-            F.col("on").alias("moves"),
+        done = marked.filter("cyclic or not moves").select("card", "last", "length", "cyclic")
+        done.write.mode("append").parquet(path)
+        arrived = spark.read.schema(done.schema).parquet(path)
+        moving = marked.filter("moves and not cyclic").select("card", "last", "length", "least")
+        if moving.isEmpty():
+            break
+        ahead = arrived.withColumns({"least": F.lit(None).cast("long"), "moves": F.lit(False)}).unionByName(
+            moving.withColumns({"cyclic": F.lit(False), "moves": F.lit(True)})
+        ).select(
+            F.col("card").alias("last"), F.col("last").alias("far"), F.col("length").alias("more"),
+            F.col("least").alias("other"), F.col("moves"), F.col("cyclic"),
         )
-        moved = staged(moved, "pointers")
-        arrived.append(moved.filter("not moves"))
-        moving = moved.filter("moves")
-        span *= 2
-    open_end = F.col("moves")
-    return reduce(DataFrame.unionByName, arrived, moving).select(
+        moved = staged(moving.join(ahead, "last").select(
+            "card", F.col("far").alias("last"), (F.col("length") + F.col("more")).alias("length"),
+            F.least("least", "other").alias("least"), "moves", "cyclic",
+        ), "pointers")
+    return arrived.select(
         "card",
-        F.when(~open_end, F.col("length")).alias("length"),
-        F.when(~open_end, F.col("last")).alias("last_card"),
-        open_end.alias("cyclic"),
+        F.when(~F.col("cyclic"), F.col("length")).alias("length"),
+        F.when(~F.col("cyclic"), F.col("last")).alias("last_card"),
+        "cyclic",
     )

@@ -1,4 +1,4 @@
-"""Price on a date and the price before it, for every product of a list."""
+"""Price on a date and the price before it: for every product of a list at one moment, or for every row at its own."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import styled
+from saldo.operators.asof import latest_before
 
 PRODUCT, PRICE, SET_AT, ROW = "kodtov", "cena", "data", "id"
 
@@ -54,3 +55,43 @@ def price_effective(products: DataFrame, prices: DataFrame, moment: datetime) ->
     return _now_and_before(products, daily).withColumns(
         {"price_date": text("price_date"), "previous_date": text("previous_date")}
     )
+
+
+def _price_columns(rows: DataFrame, now: str, before: str) -> DataFrame:
+    return rows.withColumns({
+        "price": F.col(f"{now}.{PRICE}"), "price_date": F.col(f"{now}.{SET_AT}"),
+        "previous_price": F.col(f"{before}.{PRICE}"), "previous_date": F.col(f"{before}.{SET_AT}"),
+    }).drop(now, before)
+
+
+def _by_day(rows: DataFrame, prices: DataFrame) -> DataFrame:
+    """``rows`` with ``_pair``: the last price of the latest day before ``day`` that has one (``now``), and of the day with a price
+    before that (``before``). Windows see one row per product and calendar day, or month."""
+    daily = _last_of_each_day(prices)
+    by_day = Window.partitionBy(PRODUCT).orderBy("day")
+    pairs = daily.withColumn("_pair", F.struct(F.col("last").alias("now"), F.lag("last").over(by_day).alias("before")))
+    return latest_before(rows, pairs.drop("last"), [PRODUCT], "day", "_pair", lambda day: F.trunc(day, "month"))
+
+
+def prices_effective(rows: DataFrame, prices: DataFrame, at: str) -> DataFrame:
+    """Every row with the price valid at its own moment ``at`` (a date or a time) and the one valid before, when the last price
+    of a day is valid from the next midnight. Rows without a product or moment, or without a price, get NULLs."""
+    found = _by_day(rows.withColumn("day", F.to_date(at)), prices).drop("day")
+    return _price_columns(found.withColumns({"_now": F.col("_pair.now"), "_before": F.col("_pair.before")}), "_now", "_before").drop("_pair")
+
+
+def prices_before(rows: DataFrame, prices: DataFrame, at: str) -> DataFrame:
+    """Every row with the price set last strictly before its own moment ``at``, and the last price of an earlier calendar day.
+
+    A price of the moment's own day is looked up among that day's changes, in buckets of a minute; otherwise the last
+    price of an earlier day counts."""
+    changes = prices.groupBy(PRODUCT, SET_AT).agg(F.max_by(PRICE, ROW).alias(PRICE)).select(
+        PRODUCT, F.to_date(SET_AT).alias("day"), F.col(SET_AT).alias("_at"), F.struct(PRICE, SET_AT).alias("_own")
+    )
+    moments = rows.withColumns({"day": F.to_date(at), "_at": F.col(at).cast("timestamp_ntz")})
+    own = latest_before(moments, changes, [PRODUCT, "day"], "_at", "_own", lambda time: F.date_trunc("minute", time))
+    found = _by_day(own, prices).drop("day", "_at").withColumns({
+        "_now": F.coalesce("_own", "_pair.now"),
+        "_before": F.when(F.col("_own").isNotNull(), F.col("_pair.now")).otherwise(F.col("_pair.before")),
+    })
+    return _price_columns(found, "_now", "_before").drop("_pair", "_own")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
@@ -59,19 +61,38 @@ def open_days_at(as_of: date) -> list[date]:
     return [as_of, as_of + timedelta(days=1)]
 
 
+def store_batch(rows: DataFrame, open_days: Sequence[date], path: str, batch: str) -> None:
+    """Write one batch of history rows: the only layout of a history, ``day=/batch=``, for jobs and streams.
+
+    What the batch has stored before is dropped first, on whatever days, so it can be repeated after a
+    failure, also when other days are open by then, and a row is stored once."""
+    for held in list_partitions(rows.sparkSession, path, ["day", "batch"]):
+        if held["batch"] == batch:
+            drop_partition(rows.sparkSession, path, held)
+    routed = route(rows.select(*HISTORY_COLUMNS), open_days).withColumn("batch", F.lit(batch))
+    routed.hint("rebalance", "day").write.partitionBy("day", "batch").mode("append").parquet(path)
+
+
 def append_snapshot(view: DataFrame, ts: datetime | None, open_days: Sequence[date],
-                    path: str) -> None:
+                    path: str, batch: str | None = None) -> None:
     """Stamp a view with the time of the snapshot and append it to the history. Rows that carry
-    their own ``ts`` (a replay) are appended with ``ts=None``."""
+    their own ``ts`` (a replay) are appended with ``ts=None``.
+
+    ``batch`` names the append; the same name again replaces it. A stamped snapshot is named by its
+    time, an unnamed replay is new every time. Names are letters, digits, ``-`` and ``_``, and no bare number: those
+    are the stream's."""
     if ts is not None:
         view = view.withColumn("ts", F.lit(ts).cast("timestamp_ntz"))
-    rows = route(view.select(*HISTORY_COLUMNS), open_days)
-    rows.hint("rebalance", "day").write.partitionBy("day").mode("append").parquet(path)
+    if batch is None:
+        batch = f"at-{ts:%Y%m%dT%H%M%S%f}" if ts is not None else f"replay-{uuid.uuid4().hex}"
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", batch) or batch.isdigit():
+        raise ValueError(f"not a batch name: {batch}")
+    store_batch(view, open_days, path, batch)
 
 
 def read_history(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The history with ``day`` as text, so that the default partition keeps its name."""
-    return spark.read.schema(schema).parquet(path)
+    """The history with ``day`` as text, so that the default partition keeps its name. Batches are no column of it."""
+    return spark.read.schema(schema).parquet(path).drop("batch")
 
 
 def expired_days(days: Sequence[str], as_of: date, keep: int) -> list[str]:

@@ -50,5 +50,14 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a finished folder in the place of another one, by a rename."""
+    source, files = _path(spark, new)
+    target, _ = _path(spark, old)
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {new} to {old}")
+
+
 def drop_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
     drop_folder(spark, "/".join([path, *[f"{k}={v}" for k, v in values.items()]]))

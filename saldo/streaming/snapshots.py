@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from saldo.plans.snapshots import HISTORY_COLUMNS, route
+from saldo.plans.snapshots import store_batch
 
 
 def read_stream(spark: SparkSession, folder: str, schema: StructType,
@@ -22,20 +22,15 @@ def read_stream(spark: SparkSession, folder: str, schema: StructType,
 
 
 def stream_snapshots(stream: DataFrame, path: str, checkpoint: str,
-                     open_days: Callable[[], Sequence[date]]) -> StreamingQuery:
+                     open_days: Callable[[], Sequence[date]], source: str = "") -> StreamingQuery:
     """Route arriving history rows to their day and append them; late rows whose day is closed go to
-    the default partition, as in the batch job.
+    the default partition, as in the batch job, which may write to the same path.
 
-    Days are the outer folders, so retention drops streamed days as it drops others. Inside a day,
-    each micro-batch writes its own ``batch`` partition and replaces it when the batch is replayed
-    after a failure, so a row is stored once.
+    A micro-batch is stored under its number and replaced when it is replayed after a failure, so a row is
+    stored once. Several streams into one history need different ``source`` names, as each counts from 0.
     """
     def store(rows: DataFrame, batch: int) -> None:
-        from pyspark.sql import functions as F
-
-        routed = route(rows.select(*HISTORY_COLUMNS), open_days()).withColumn("batch", F.lit(batch))
-        (routed.hint("rebalance", "day").write.partitionBy("day", "batch").mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").parquet(path))
+        store_batch(rows, open_days(), path, f"{source}-{batch}" if source else str(batch))
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

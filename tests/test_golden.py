@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from saldo.operators import balance, chains, dedup, keys, lookup
+from saldo.operators import balance, chains, dedup, keys, lookup, pricing
 from saldo.sources.tables import inline_rows
 
 
@@ -137,6 +138,50 @@ def test_chain_closure_and_cycles(spark):
                    9: (None, None, True), 7: (1, 8, False)}
 
 
+def test_closure_rounds_follow_the_longest_chain(spark, monkeypatch):
+    """Rings, tails into rings, single loops and chains among many cards: log2(longest chain) + 2 rounds."""
+    links = {i: i + 1 for i in range(100, 113)} | {200: 200} | {300 + i: 300 + (i + 1) % 12 for i in range(12)}
+    links |= {400: 401, 401: 402, 402: 305, 500: 501, 501: 500, 1: 300, 2: 1, 3: 500, 4: 200}
+    links |= {i: -1 for i in range(1000, 6000)}
+    rounds = []
+    stage = chains.staged
+    monkeypatch.setattr(chains, "staged", lambda df, name: (rounds.append(name), stage(df, name))[1])
+    rows = spark.createDataFrame(list(links.items()), "old_card long, new_card long")
+    got = {r["card"]: (r["length"], r["last_card"], r["cyclic"]) for r in chains.chain_closure(rows).collect()}
+    want = {}
+    for card in links:
+        at, seen = card, []
+        while at in links and at not in seen:
+            seen.append(at)
+            at = links[at]
+        want[card] = (None, None, True) if at in links else (len(seen), at, False)
+    assert got == want
+    assert rounds.count("pointers") <= math.log2(15) + 2
+
+
+def test_every_row_gets_the_price_of_its_own_moment(spark):
+    changes = [("a", 5, "2024-01-31 23:59:59", 1), ("a", 6, "2024-02-01 00:00:00", 2), ("a", 7, "2024-02-01 10:00:30", 3),
+               ("a", 8, "2024-02-01 10:00:30", 4), ("a", 9, "2024-04-02 09:00:00", 5), ("b", 1, "2024-02-01 10:00:00", 6),
+               (None, 3, "2024-01-01 00:00:00", 7), ("c", 3, None, 8)]
+    prices = spark.createDataFrame(changes, "kodtov string, cena int, data string, id int").withColumn(
+        "data", F.col("data").cast("timestamp_ntz"))
+    moments = ["2024-01-31 23:59:59", "2024-02-01 00:00:00", "2024-02-01 10:00:30", "2024-02-01 10:00:31", "2024-02-02 00:00:00",
+               "2024-03-15 12:00:00", "2024-04-02 09:00:00", "2024-12-31 00:00:00", None]
+    lines = spark.createDataFrame([(p, m, "keep") for p in ("a", "b", "c", None) for m in moments] * 2,
+                                  "kodtov string, at string, note string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    known = sorted(((k, d, i, c) for k, c, d, i in changes if k and d), key=lambda x: (x[1], x[2]))
+
+    def at(product, rule):
+        now = [x for x in known if x[0] == product and rule(x[1])]
+        before = [x for x in now if x[1][:10] < now[-1][1][:10]] if now else []
+        return (now[-1][3] if now else None, before[-1][3] if before else None)
+
+    for function, rule in ((pricing.prices_before, lambda m: lambda d: d < m), (pricing.prices_effective, lambda m: lambda d: d[:10] < m[:10])):
+        got = function(lines, prices, "at").select("kodtov", F.col("at").cast("string"), "price", "previous_price", "note").collect()
+        want = [(p, m, *(at(p, rule(m)) if p and m else (None, None)), "keep") for p in ("a", "b", "c", None) for m in moments] * 2
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_new_ids_go_on(spark):
     old = inline_rows(spark, [(1,), (2,)], "id int")
     new = inline_rows(spark, [("CCC",), ("DDD",), ("BBB",)], "name string")

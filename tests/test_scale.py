@@ -25,7 +25,7 @@ def physical(df) -> str:
 
 
 LAZY = ["day_balance", "latest_per_key", "superseded_pairs", "exact_duplicates", "price_before_day",
-        "price_next_day_effective", "lookup_policies", "chain_change_date", "book_all", "book_month",
+        "price_next_day_effective", "price_of_lines_effective", "price_of_lines_before", "lookup_policies", "chain_change_date", "book_all", "book_month",
         "ops_buffer", "advance_wrap", "ungrouped_ledger", "grouped_ledger", "buf_payments",
         "buf_reversals", "buf_payments_grouped", "session_metrics", "process_sessions"]
 
@@ -173,6 +173,18 @@ def test_hot_key_of_a_lookup_is_split(spark, skew_visible):
     assert found.count() == 30000 and found.filter("name is null").count() == 0
 
 
+def test_hot_product_of_lines_is_split(spark, skew_visible):
+    lines = spark.range(30000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 997).cast("string").alias("kodtov"),
+        F.to_date(F.lit("2024-01-20")).alias("at"), F.col("id").alias("line"))
+    prices = spark.range(997).select(
+        F.col("id").cast("string").alias("kodtov"), F.col("id").cast("decimal(10,2)").alias("cena"),
+        F.expr("timestamp_ntz'2024-01-02 00:00:00'").alias("data"), "id")
+    found = pricing.prices_effective(lines, prices, "at")
+    assert "skew=true" in final_plan(found)
+    assert found.count() == 30000 and found.filter("price is null").count() == 0
+
+
 def test_hot_next_card_is_split(spark, skew_visible):
     edges = spark.range(1, 30000).repartition(8).select(
         F.col("id").alias("old_card"),

@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from saldo.catalogue import HISTORY_SCHEMA
 from saldo.functions.dates import Period
 from saldo.operators import dedup, guards, reload
 from saldo.plans import month, snapshots
@@ -177,3 +178,95 @@ def test_stream_stores_each_row_once(spark):
     assert {r[0] for r in stored.select("batch").distinct().collect()} == {0, 1}
     assert snapshots.retain(spark, path, date(2024, 1, 8)) == ["2024-01-02"]
     assert spark.read.parquet(path).filter("day = '2024-01-02'").count() == 0
+
+
+def test_job_and_stream_share_a_history(spark):
+    inbox, path, seen = (scratch_path(spark, n) for n in ("inbox", "out", "seen"))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.write.parquet(inbox)
+    stream = spark.sql(view_text("history", "spark"), events=read_stream(spark, inbox, events.schema))
+    nightly = history(spark, [datetime(2024, 1, 2, h) for h in range(3)])
+    for as_of in (date(2024, 1, 2), date(2024, 1, 3)):  # repeated on the next day, when other days are open
+        snapshots.append_snapshot(nightly, datetime(2024, 1, 2, 5), snapshots.open_days_at(as_of), path)
+        snapshots.append_snapshot(nightly, None, snapshots.open_days_at(as_of), path, "replay-1")
+        stream_snapshots(stream, path, seen, lambda: snapshots.open_days_at(as_of), "one").awaitTermination()
+    stored = snapshots.read_history(spark, path, HISTORY_SCHEMA)
+    assert "batch" not in stored.columns and stored.count() == events.count() + 2 * 3
+    held = list_partitions(spark, path, ["day", "batch"])
+    assert {p["batch"] for p in held} == {"at-20240102T050000000000", "replay-1", "one-0"}
+    with pytest.raises(ValueError, match="batch name"):
+        snapshots.append_snapshot(nightly, None, [], path, "7")
+    snapshots.retain(spark, path, date(2024, 2, 1))
+    assert {p["day"] for p in list_partitions(spark, path, ["day"])} == {snapshots.DEFAULT_DAY}
+
+
+def test_replayed_batch_moves_with_its_days(spark):
+    path = scratch_path(spark, "replayed")
+    rows = history(spark, [datetime(2024, 1, 2, 1), datetime(2024, 1, 3, 1)])
+    for days in ([date(2024, 1, 2)], [date(2024, 1, 3)]):
+        snapshots.store_batch(rows, days, path, "5")
+    assert snapshots.read_history(spark, path, HISTORY_SCHEMA).count() == 2
+    assert [p["day"] for p in list_partitions(spark, path, ["day"])  # the day that is closed now is empty
+            if list_partitions(spark, f"{path}/day={p['day']}", ["batch"])] == ["2024-01-03", snapshots.DEFAULT_DAY]
+
+
+def folder_bytes(path: str) -> int:
+    return sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(path) for name in names if name.endswith(".parquet"))
+
+
+def test_table_is_cleaned_where_it_lies(spark, monkeypatch):
+    """Beside the table there is never more than one slice of twenty, a hot key included; the rest is not shuffled."""
+    path = scratch_path(spark, "in-place")
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.col("id") - 1).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("msg"))
+    rows = rows.unionByName(spark.sql("select cast(null as bigint) as k, id as v, 'x' as msg from range(5)"))
+    dedup.lay_in_slices(rows, path, ["k"], 20)
+    before, most = folder_bytes(path), []
+    replace = dedup.replace_folder
+    monkeypatch.setattr(dedup, "replace_folder", lambda s, new, old: (
+        most.append(folder_bytes(path) + folder_bytes(f"{path}.cleaned") - before), replace(s, new, old)))
+    moved = []
+    keep = dedup.keep_latest
+    monkeypatch.setattr(dedup, "keep_latest", lambda df, *a: (moved.append(df.count()), keep(df, *a))[1])
+    got = dedup.dedup_in_place(spark, path, ["k"], ["v"], 20).drop(dedup.SLICE)
+    want = keep(rows, ["k"], ["v"])
+    assert same(got, want) and got.count() == want.count()
+    assert max(most) < 0.1 * before and folder_bytes(path) < 0.8 * before
+    doubtful = rows.join(rows.groupBy("k").count().filter("count > 1"), "k").count() + 5
+    assert sum(moved) <= 1.05 * doubtful
+    most.clear()
+    assert dedup.dedup_in_place(spark, path, ["k"], ["v"], 20).count() == want.count()
+    assert len(most) < 3  # only a slice in which two keys share a cell by chance is written again
+
+
+def test_interrupted_cleaning_in_place_goes_on(spark, monkeypatch):
+    rows = spark.range(2000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    for drop_first in (False, True):
+        path = scratch_path(spark, "broken-in-place")
+        dedup.lay_in_slices(rows, path, ["k"], 4)
+        replace, calls = dedup.replace_folder, iter(range(99))
+
+        def broken(s, new, old):
+            if next(calls) == 2:
+                if drop_first:
+                    dedup.drop_folder(s, old)
+                raise RuntimeError("lost")
+            replace(s, new, old)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(dedup, "replace_folder", broken)
+            with pytest.raises(RuntimeError, match="lost"):
+                dedup.dedup_in_place(spark, path, ["k"], ["v"], 4)
+        got = dedup.dedup_in_place(spark, path, ["k"], ["v"], 4).drop(dedup.SLICE)
+        assert same(got, dedup.keep_latest(rows, ["k"], ["v"])) and got.count() == 700
+
+
+def test_sketch_has_every_key_with_a_second_row(spark):
+    keys = spark.range(5000).select((F.col("id") % 4000).alias("k"))
+    for cells in (64, 1 << 20):
+        sketch = dedup.key_sketch(keys, cells)
+        assert sketch.agg(F.sum(F.length("bits"))).first()[0] <= max(4096, cells // 8)
+        marked = dedup.with_second_rows(keys, ["k"], sketch, cells)
+        assert marked.filter("k < 1000 and not _second").isEmpty()
+    assert marked.filter("_second").count() < 2100
