@@ -56,46 +56,40 @@ def chain_closure(edges: DataFrame) -> DataFrame:
     """Length and last card of the chain that starts at every card; ``cyclic``, without length and last card, where
     the chain is a ring or runs into one.
 
-    Pointer doubling: after round r a pointer spans 2^r hops and knows the least card it has passed. On a ring no longer
-    than that, the least card of the ring has passed itself; it leads the ring, and every pointer that has passed a leader
-    as its own least is cyclic, as is in the next round every pointer that lands on a cyclic card. So the number of
-    rounds is the logarithm of the longest chain, ring or tail, whatever the number of cards. A round joins and writes
-    only pointers that can still move; those that have arrived go to one table, each once.
+    Pointer doubling: after round r a pointer spans 2^r hops and knows the least card among them. The next 2^r hops, which a
+    round joins to it, are other cards unless the chain comes round; so a least card that is in both halves tells a ring,
+    and on a ring of at most 2^r cards both halves hold its least card. A pointer that lands on a cyclic card is
+    cyclic. So the number of rounds is the logarithm of the longest chain, ring or tail, whatever the number of
+    cards. A round joins and writes only pointers that can still move.
     """
     spark = edges.sparkSession
     hops = require_unique(
         edges.select(F.col("old_card").alias("card"), F.col("new_card").alias("last")), ["card"]
-    ).withColumns({"length": F.lit(1).cast("long"), "least": F.col("last")})
+    ).withColumns({"length": F.lit(1).cast("long"), "least": F.col("last"), "cyclic": F.lit(False)})
     # a pointer to a card that was never replaced has arrived
     olds = hops.select(F.col("card").alias("last"), F.lit(True).alias("moves"))
-    moved = staged(
-        hops.join(olds, "last", "left").select(
-            "card", "last", "length", "least", F.coalesce("moves", F.lit(False)).alias("moves")
-        ), "hops",
-    ).withColumn("cyclic", F.lit(False))
-    path = scratch_path(spark, "arrived")
+    linked = hops.join(olds, "last", "left").withColumn("moves", F.coalesce("moves", F.lit(False)))
+    columns = ["card", "last", "length", "least", "cyclic", "moves"]
+    written = []
+    moved = linked.select(*columns)
     while True:
-        # one row per ring: the card that has passed itself
-        leaders = moved.filter("moves and least = card").select(F.col("card").alias("least"), F.lit(True).alias("ring"))
-        marked = moved.join(leaders, "least", "left").withColumn(
-            "cyclic", F.col("cyclic") | (F.col("moves") & F.coalesce("ring", F.lit(False)))
-        )
-        done = marked.filter("cyclic or not moves").select("card", "last", "length", "cyclic")
-        done.write.mode("append").parquet(path)
-        arrived = spark.read.schema(done.schema).parquet(path)
-        moving = marked.filter("moves and not cyclic").select("card", "last", "length", "least")
+        path = scratch_path(spark, "pointers")
+        moved.write.parquet(path)
+        written.append(path)
+        # every round's folder in one scan; a card arrives in one of them
+        arrived = spark.read.schema(moved.schema).parquet(*written).filter("not moves")
+        moving = spark.read.schema(moved.schema).parquet(path).filter("moves")
         if moving.isEmpty():
             break
-        ahead = arrived.withColumns({"least": F.lit(None).cast("long"), "moves": F.lit(False)}).unionByName(
-            moving.withColumns({"cyclic": F.lit(False), "moves": F.lit(True)})
-        ).select(
+        ahead = arrived.unionByName(moving).select(
             F.col("card").alias("last"), F.col("last").alias("far"), F.col("length").alias("more"),
-            F.col("least").alias("other"), F.col("moves"), F.col("cyclic"),
+            F.col("least").alias("other"), F.col("moves").alias("on"), F.col("cyclic").alias("round"),
         )
-        moved = staged(moving.join(ahead, "last").select(
+        ring = F.col("round") | (F.col("on") & (F.col("least") == F.col("other")))
+        moved = moving.join(ahead, "last").select(
             "card", F.col("far").alias("last"), (F.col("length") + F.col("more")).alias("length"),
-            F.least("least", "other").alias("least"), "moves", "cyclic",
-        ), "pointers")
+            F.least("least", "other").alias("least"), ring.alias("cyclic"), (F.col("on") & ~ring).alias("moves"),
+        )
     return arrived.select(
         "card",
         F.when(~F.col("cyclic"), F.col("length")).alias("length"),
