@@ -175,6 +175,7 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     found = staged(classes(slim), "classes")
     best = slim.groupBy("fp").agg(F.min("who").alias("who")).join(found, "fp", "left")
     first = best.groupBy(F.coalesce("class", "fp").alias("class")).agg(F.min("who").alias("who"))
-    stay = staged(first.select(F.col("who.row").alias("__row")), "kept-rows")
-    # as many rows as documents stay, so they are never broadcast
-    return held.join(stay.hint("merge"), "__row", "left_semi").select(*columns)
+    stay = first.select(F.col("who.row").alias("__row"))
+    # row numbers, not texts, tell which rows go: few of them are broadcast below the planner's limit, and no text moves
+    gone = staged(slim.select(F.col("who.row").alias("__row")).join(stay, "__row", "left_anti"), "gone-rows")
+    return held.join(gone, "__row", "left_anti").select(*columns)
