@@ -45,6 +45,7 @@ WAVE = 4 * TOP
 GROWTH = 8
 UNIT = 1_000_000
 SLICE = 4 << 20
+FRAME = 1 << 16  # phrases emitted at once
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 # A-Z to lower case, every end of a piece to \n, tab to blank.
 TABLE = bytes(10 if c in ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -124,7 +125,7 @@ def counted(batches: Iterator[pd.DataFrame], length: int, size: int, admit) -> I
     """(lang, phrase, f): counts of a task's phrases, slice by slice. `admit(words, lang)` tells which phrases to emit."""
     held: dict[str, Words] = defaultdict(Words)
 
-    def out(lang: str) -> pd.DataFrame:
+    def out(lang: str) -> Iterator[pd.DataFrame]:
         words = held[lang]
         texts = list(words.number)
         keep_words, keep_phrases = admit(texts, lang)
@@ -132,22 +133,24 @@ def counted(batches: Iterator[pd.DataFrame], length: int, size: int, admit) -> I
         if keep_phrases and len(rows):
             fine = keep_phrases(rows)
             rows, f = rows[fine], f[fine]
-        return pd.DataFrame({"lang": lang, "phrase": [b" ".join([texts[i] for i in row]) for row in rows.tolist()], "f": f})
+        for start in range(0, len(rows), FRAME):
+            phrases = [b" ".join([texts[i] for i in row]) for row in rows[start : start + FRAME].tolist()]
+            yield pd.DataFrame({"lang": lang, "phrase": phrases, "f": f[start : start + FRAME]})
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
             for part in slices(text.translate(TABLE), size):
                 held[lang].add(part)
                 if held[lang].size >= size:
-                    yield out(lang)
+                    yield from out(lang)
                     held[lang] = held[lang].rest()
             held[lang].end()
             if len(held) > 64:  # a bound for tables with very many languages
                 for one in list(held):
-                    yield out(one)
+                    yield from out(one)
                     del held[one]
     for lang in list(held):
-        yield out(lang)
+        yield from out(lang)
 
 
 def key_bytes(lang: str, phrase: bytes) -> bytes:
