@@ -335,12 +335,11 @@ def test_op10_finds_copies_and_spares_others(spark, given):
     ]
     texts += [f"{word()} {items[4]} {word()}" for _ in range(30)]  # a passage that most documents hold
     bench = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*items, items[5]])], "item_id long, text string, gram int")
-    want = {(0, 0), (1, 1), (6, 3)} | {(i, 4) for i in range(8, 38)}
-    for block_bytes in (1 << 20, 500):
-        got = decontamination.contaminated(documents(spark, texts), bench, block_bytes).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    want = {(0, 0), (1, 1), (5, 10), (6, 3)} | {(i, 4) for i in range(8, 38)}
+    got = decontamination.contaminated(documents(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
     clean = decontamination.keep_clean(documents(spark, texts), bench)
-    assert {r["doc_id"] for r in clean.collect()} == {2, 3, 4, 5, 7}
+    assert {r["doc_id"] for r in clean.collect()} == {2, 3, 4, 7}
     spot = next(r for r in got if r["doc_id"] == 6)
     assert (spot["first_word"], spot["end_word"], spot["score"]) == (20000, 20040, 1.0)
 
@@ -359,33 +358,83 @@ def test_op10_edited_copies_are_found_beside_verbatim_ones(spark, step):
     assert decontamination.keep_clean(documents(spark, texts), bench).count() == 0
 
 
-def test_op10_bound_never_loses_an_alignment():
-    """Every text that shares a sequence with an item is found exactly if its alignment reaches the needed score."""
+def plain_score(item, text):
+    """Smith-Waterman cell by cell: match +2, other word -1, gap -1."""
+    above, best = [0] * (len(text) + 1), 0
+    for word in item:
+        row = [0]
+        for j, other in enumerate(text):
+            row.append(max(0, above[j] + (2 if word == other else -1), above[j + 1] - 1, row[j] - 1))
+        above, best = row, max(best, *row)
+    return best
+
+
+def changed(words, step, kind):
+    """Every step-th word replaced, left out, or followed by another one."""
+    out = []
+    for at, w in enumerate(words):
+        hit = at % step == step - 1
+        out += {"replace": [f"new{at}"] if hit else [w], "drop": [] if hit else [w], "insert": [w, f"new{at}"] if hit else [w]}[kind]
+    return out
+
+
+def test_op10_equals_brute_force_over_all_pairs(spark):
+    """Every (document, item) pair whose best alignment reaches the needed score is found, and no other: items of 1 to 90
+    words, every 2nd to 6th word changed, random edits, words that all items share, several copies in one text."""
     rnd = random.Random(10)
-    few = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh"]
-    items = [[rnd.choice(few) + rnd.choice("xyz") for _ in range(rnd.randint(5, 60))] for _ in range(12)]
-    block = decontamination.Block.of([(i, " ".join(t)) for i, t in enumerate(items)])
-    texts = [None, ""]
-    for _ in range(150):
-        words = list(rnd.choice(items))
-        for _ in range(rnd.randint(0, len(words))):
+    few = [a + b for a in "abcdefgh" for b in "xyz"]
+    word = lambda: rnd.choice(few) if rnd.random() < 0.5 else "".join(rnd.choice("abcdefghij") for _ in range(4))
+    items = [[word() for _ in range(n)] for n in (1, 2, 3, 4, 5, 6, 8, 13, 20, 30, 40, 41, 60, 78, 90)]
+    items += [items[9][:15] + [word() for _ in range(15)], ["of", "the"] * 10]
+    texts = [changed(t, step, kind) for t in items for step in range(2, 7) for kind in ("replace", "drop", "insert")]
+    for _ in range(60):
+        words = [word() for _ in range(rnd.randint(0, 150))] + list(rnd.choice(items)) + list(rnd.choice(items))
+        for _ in range(rnd.randint(0, len(words) // 2)):
             at = rnd.randrange(len(words))
-            words[at : at + rnd.randint(0, 1)] = [rnd.choice(few) + rnd.choice("xyz")] * rnd.randint(0, 1)
+            words[at : at + rnd.randint(0, 1)] = [word()] * rnd.randint(0, 1)
             words = words or ["none"]
-        texts.append(" ".join(words))
-    numbers, begin = block.number(texts)
-    want = [[] for _ in texts]
-    for item, doc, a, b in np.concatenate(list(decontamination.spans_of(numbers, begin, block))).tolist():
-        score = decontamination.smith_waterman(block.items[item], numbers[a:b])[0]
-        if score >= decontamination.needed(len(block.items[item])):
-            want[doc].append(item)
-    got = decontamination.alignments(texts, block)
-    assert [[x[0] for x in r] for r in got] == [sorted(set(x)) for x in want] and 50 < sum(map(len, got))
-    whole, decontamination.SLICE = decontamination.SLICE, 5
-    try:
-        assert decontamination.alignments(texts, block) == got
-    finally:
-        decontamination.SLICE = whole
+        texts.append(words)
+    texts += [[rnd.choice(few) for _ in range(300)] for _ in range(20)] + [["of", "the"] * 200, ["of", "x", "the", "y"] * 40]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    least = lambda n: 2 * n if n < 5 else min(n, 40)
+    score = {(d, i): plain_score(item, t) for d, t in enumerate(texts) for i, item in enumerate(items)}
+    want = {(d, i): s / (2 * len(items[i])) for (d, i), s in score.items() if s >= least(len(items[i]))}
+    assert len(want) > 300
+    got = decontamination.contaminated(documents(spark, [" ".join(t) for t in texts]), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want and len(got) == len(want)
+    for r in got:
+        passage = texts[r["doc_id"]][r["first_word"] : r["end_word"]]
+        assert plain_score(items[r["item_id"]], passage) == round(r["score"] * 2 * len(items[r["item_id"]]))
+
+
+def test_op10_segments_of_a_long_text_lose_nothing(monkeypatch):
+    rnd = random.Random(4)
+    words = [rnd.choice(["ab", "Cd", "什么是", "ΣΑΣ", "x_y"]) for _ in range(400)]
+    text = "".join(w + rnd.choice([" ", "\n", ", "]) for w in words)
+    whole = decontamination.words_of(text)
+    spots = [(7, 0, 30), (8, 25, 200), (9, len(whole) - 5, len(whole) + 9)]
+    monkeypatch.setattr(decontamination, "SEGMENT", 50)
+    assert [w for part in decontamination.segments(text) for w in part] == whole
+    assert decontamination.stretches(text, spots) == [whole[low:high] for _, low, high in spots]
+    assert list(decontamination.segments(None)) == list(decontamination.segments("")) == []
+
+
+def test_op10_reads_the_documents_once_whatever_the_items(spark, given):
+    """A counter in the documents' plan: 10 and 1,000 items read every row once."""
+    texts = [r["text"] for r in given.select("text").limit(40).collect()]
+    passages = [" ".join(t.split()[at : at + 25]) for t in texts for at in range(0, 625, 25)]
+    passages = [p for p in passages if len(p.split()) == 25][:1000]
+    for number in (10, len(passages)):
+        read = spark.sparkContext.accumulator(0)
+
+        def count(text, read=read):
+            read.add(1)
+            return text
+
+        docs = documents(spark, texts).withColumn("text", F.udf(count, "string")("text"))
+        bench = spark.createDataFrame(list(enumerate(passages[:number])), "item_id long, text string")
+        got = {r["item_id"] for r in decontamination.contaminated(docs, bench).collect()}
+        assert len(got) == len(set(passages[:number])) and read.value == len(texts)
 
 
 def test_op10_scripts_without_blanks(spark):
