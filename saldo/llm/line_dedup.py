@@ -1,7 +1,7 @@
 """Site-relative line frequency: lines that many pages of one site share are boilerplate.
 
-A line is dropped from a page if at least `min_pages` pages of its site hold it and they are more than
-`ratio` of all pages of that site. Everything is DataFrame functions.
+A line is dropped from a page if the pages of its site that hold it are more than `ratio` of all pages of that site, and
+`min_pages` at least (2: a line that one page holds is shared with none). Everything is DataFrame functions.
 
 Scale: a page counts a line once, and counts combine on the map side before (site, line) is shuffled,
 so neither a large site nor a very common line meets in one task. A line is known by a 64-bit hash, which
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from saldo.session import staged
 
 RATIO = 0.1
-MIN_PAGES = 10
+MIN_PAGES = 2
 SITE, LINES = "__site_of_page", "__boilerplate_of_site"
 
 
@@ -66,8 +66,10 @@ def drop_site_lines(
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host of an http(s) address, without user and port; null if there is none."""
-    host = F.regexp_extract(F.lower(url), r"^https?://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    """Lower-case host of an http(s) address, without user, port and closing dots; an address in brackets stays whole.
+    Null if there is none."""
+    host = F.regexp_extract(F.lower(url), r"^https?://(?:[^/?#@]*@)?(\[[^/?#@\]]*\]|[^/?#:@\[\]]+)", 1)
+    host = F.regexp_replace(host, r"\.+$", "")
     return F.when(host != "", host)
 
 
@@ -95,7 +97,7 @@ def op6_site_lines(pages: DataFrame) -> DataFrame:
 OP6_SQL = r"""
 WITH raw AS (
   SELECT row_number() OVER () AS r, page_id,
-    nullif(regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '') AS host,
+    nullif(regexp_replace(regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?(\[[^/?#@\]]*\]|[^/?#:@\[\]]+)', 1), '\.+$', ''), '') AS host,
     regexp_replace(regexp_replace(regexp_replace(html,
       '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
       '(?i)</?(?:a|b|i|em|strong|span|u)(?:[ \t\r\n][^>]*)?>', '', 'g'),
@@ -114,7 +116,7 @@ WITH raw AS (
   GROUP BY host, l
 ), bad AS (
   SELECT c.host, list(l) AS ls FROM counts c JOIN totals t ON t.host = c.host
-  WHERE n >= 10 AND n > 0.1 * pages GROUP BY c.host
+  WHERE n >= 2 AND n > 0.1 * pages GROUP BY c.host
 )
 SELECT page_id, x.host,
   array_to_string(list_filter(x.ls, lambda v: NOT coalesce(list_contains(b.ls, v), false)), chr(10)) AS text,

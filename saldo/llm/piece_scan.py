@@ -308,18 +308,18 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
                 rows.append((x.row, x.part, own.ids(x.entry, x.exit)))
             yield pd.DataFrame(rows, columns=["row", "part", "ids"])
 
-    giants = staged(slim.where(giant).withColumn("row", F.monotonically_increasing_id()), "giant-texts")
+    giants = staged(slim.where(giant).withColumn("__row", F.monotonically_increasing_id()), "giant-texts")
     parts = staged(
-        giants.select("row", "text").mapInPandas(chunks, "row long, part int, parts int, body string, low int, high int"),
+        giants.select(F.col("__row").alias("row"), "text").mapInPandas(chunks, "row long, part int, parts int, body string, low int, high int"),
         "giant-chunks",
     )
     moves = parts.mapInPandas(transfer, "row long, part int, entries int, matrix binary")
     chosen = staged(moves.groupBy("row").applyInPandas(choose, "row long, part int, entry int, exit int"), "cut-states")
     traced = parts.join(chosen, ["row", "part"]).mapInPandas(trace, "row long, part int, ids array<int>")
-    whole = traced.groupBy("row").agg(
+    whole = traced.groupBy(F.col("row").alias("__row")).agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"])).alias("token_ids")
     )
-    return direct.unionByName(giants.join(whole, "row").drop("row"))
+    return direct.unionByName(giants.join(whole, "__row").drop("__row"))
 
 
 def decode_ids(spark: SparkSession, ids: Column, model: str = MODEL) -> Column:

@@ -43,6 +43,11 @@ CLASSES = bytes(
 )
 
 
+# First bytes of characters of three bytes; where they fill a text, blanks part clauses rather than words.
+NOT_WIDE = bytes(c for c in range(256) if not 0xE0 <= c <= 0xEF)
+ENDS = tuple(x.encode() for x in (".", "?", "!", ":", "。", "？", "！", "：", "．", "।", "۔", "؟", "។", "။", "።"))
+
+
 def defect(value: float, bad: float) -> int:
     """-1 from `bad` on, else 0."""
     return -1 if value >= bad else 0
@@ -73,7 +78,7 @@ def by_lone_signs(data: bytes, words: list[bytes], lines: list[bytes]) -> int:
 
 
 def by_sentences(data: bytes, words: list[bytes], lines: list[bytes]) -> int:
-    closed = sum(x.rstrip()[-1:] in (b".", b"?", b":") for x in lines)
+    closed = sum(x.rstrip().endswith(ENDS) for x in lines)
     share = closed / max(1, len(lines))
     return 1 if share >= 0.7 else -1 if share <= 0.2 else 0
 
@@ -91,7 +96,9 @@ def by_repeated_words(data: bytes, words: list[bytes], lines: list[bytes]) -> in
 
 
 def by_word_length(data: bytes, words: list[bytes], lines: list[bytes]) -> int:
-    return defect(abs(sum(map(len, words)) / max(1, len(words)) - 6.5), 6) if len(words) > 4 else 0
+    if len(words) <= 4 or 6 * len(data.translate(None, NOT_WIDE)) > len(data):
+        return 0
+    return defect(abs(sum(map(len, words)) / len(words) - 6.5), 6)
 
 
 def by_digits(data: bytes, words: list[bytes], lines: list[bytes]) -> int:

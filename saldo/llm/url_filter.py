@@ -39,8 +39,8 @@ def path_key(url: Column, host: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and its parents of at least two labels, each with its number of labels."""
-    labels = F.split(host, r"\.")
+    """The host and its parents of at least two labels, each with its number of labels; an address in brackets is one label."""
+    labels = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     last = F.greatest(F.size(labels) - 1, F.lit(1))
     return F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(
         F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("key"), (F.size(labels) - i + 1).alias("rank")
@@ -122,16 +122,19 @@ def op1_url_filter(pages: DataFrame) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH p AS (
+WITH h AS (
   SELECT row_number() OVER () AS r, page_id, url,
-    CASE WHEN length(regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) BETWEEN 1 AND 253
-      THEN regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1) END AS host,
+    regexp_replace(regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?(\[[^/?#@\]]*\]|[^/?#:@\[\]]+)', 1), '\.+$', '') AS found
+  FROM pages
+), p AS (
+  SELECT r, page_id, url, CASE WHEN length(found) BETWEEN 1 AND 253 THEN found END AS host,
     regexp_extract(url, '^[A-Za-z]+://[^/?#]*/([^/?#]+)', 1) AS seg,
     md5('fetched ' || url) AS f, md5(url || '#' || page_id) AS s
-  FROM pages
+  FROM h
 ), q AS (
   SELECT *, DATE '2024-01-01' + (('0x' || substr(f, 1, 4))::INT % 366) AS day,
-    CASE WHEN seg <> '' THEN host || '/' || seg ELSE '' END AS path, string_split(host, '.') AS labels
+    CASE WHEN seg <> '' THEN host || '/' || seg ELSE '' END AS path,
+    CASE WHEN starts_with(host, '[') THEN [host] ELSE string_split(host, '.') END AS labels
   FROM p
 ), entries AS (
   SELECT CASE WHEN ('0x' || substr(s, 5, 4))::INT % 8 = 0

@@ -125,6 +125,15 @@ def test_op3_keeps_clean_text(spark):
     assert [r["score"] for r in odd[:2]] == [0.0, 0.0]
 
 
+@pytest.mark.parametrize("text", ["我们在公园里散步，天气很好。孩子们在湖边玩。\n", "今日は天気がいいので、公園を歩きました。子供も来ました。\n", "What a fine day it is for all of us!\n"])
+def test_op3_keeps_clean_text_of_other_scripts(spark, text):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(10**7 + i, "".join(f"{i + j} {text}" for j in range(9))) for i in range(40)], "doc_id long, text string")
+    )
+    got = quality.op3_quality(docs).where("doc_id >= 10000000").collect()
+    assert len(got) == 40 and all(r["keep"] for r in got)
+
+
 def test_op4_held_out_accuracy(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = language_id.op4_language(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -195,7 +204,23 @@ def test_op6_site_lines(spark):
     pages = spark.createDataFrame([(i, s, t, 1, "q") for i, (s, t) in enumerate(rows)], "page_id long, site string, text string, n int, line string")
     got = line_dedup.drop_site_lines(pages, F.lower("site"), dropped="went").orderBy("page_id").collect()
     assert got[0]["text"] == "own line 0\nrare 0\n" and got[0]["went"] == 2 and len(got) == len(rows)
-    assert all(tuple(r)[:5] == tuple(p) for r, p in zip(got[60:], pages.orderBy("page_id").collect()[60:], strict=True))
+    assert all((r["text"], r["went"]) == ("", 2) for r in got[60:69])  # a small site obeys the ratio, too
+    assert all(tuple(r)[:5] == tuple(p) for r, p in zip(got[69:], pages.orderBy("page_id").collect()[69:], strict=True))
+    spared = line_dedup.drop_site_lines(pages, F.lower("site"), min_pages=10, dropped="went")
+    assert spared.where("site = 'small.org' and went = 0").count() == 9
+
+
+def test_hosts_in_brackets_and_with_closing_dots(spark):
+    urls = {
+        "http://[2001:DB8::1]/x": "[2001:db8::1]", "https://u@[::1]:80": "[::1]", "http://a.com./x": "a.com", "http://A.com..:8/": "a.com",
+        "http://./": None, "http://[::1/x": None, "http://a.com": "a.com", "ftp://a.com": None, None: None, "": None,
+    }
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").withColumn("host", line_dedup.host_of(F.col("url"))).collect()
+    assert {r["url"]: r["host"] for r in rows} == urls
+    entries = spark.createDataFrame([("a.com", "2024-01-01", "block"), ("[2001:db8::1]", "2024-01-01", "block")], "key string, day string, verdict string")
+    captures = spark.createDataFrame([(u,) for u in urls], "url string").withColumn("day", F.lit("2024-02-01").cast("date"))
+    got = url_filter.judge(captures, entries.withColumn("day", F.col("day").cast("date"))).where("verdict = 'block'").collect()
+    assert {r["url"] for r in got} == {u for u, h in urls.items() if h in ("a.com", "[2001:db8::1]")}
 
 
 def test_op7_simhash(spark, given):
@@ -272,6 +297,8 @@ def test_op8_round_trip(spark, given):
     texts = [r["text"] for r in given.collect()][:60] + [None, "", "x" * 5000, "tab\t\x00 end "]
     got = piece_scan.encode_texts(documents(spark, texts), chunk=500).collect()  # most texts are giant
     assert len(got) == len(texts)
+    kept = piece_scan.encode_texts(documents(spark, texts), chunk=500, keep=("doc_id", "row", "host"))
+    assert kept.columns == ["doc_id", "row", "host", "text", "token_ids"] and kept.where("row = 7").count() == len(texts)
     for r in got:
         assert r["token_ids"] == (None if r["text"] is None else library.encode(r["text"]))
     assert all(r["round_trip"] for r in piece_scan.op8_pieces(documents(spark, texts)).collect())
