@@ -14,6 +14,7 @@ from saldo.operators import balance, chains, dedup, guards, keys, lookup, pricin
 from saldo.plans import scope, snapshots
 from saldo.plans.book import SalesBook, writeoff_flag
 from saldo.plans.buffer import OPERATIONS_COLUMNS, TaxBuffer, advance_wraps, tax_buffer
+from saldo.plans.sql import register_ledger
 from saldo.session import configure, scratch_path
 from saldo.sources.demo_views import view_text
 from saldo.sources.plain import plain
@@ -296,6 +297,13 @@ def ungrouped_ledger(t):
     return TaxBuffer(t).ungrouped
 
 
+@query
+def ledger_function(t):
+    """One month of one master, selected by SQL alone."""
+    name = register_ledger(t.spark, t)
+    return t.spark.sql(f"select * from {name}({MONTH.year}, {MONTH.month}, '31')")
+
+
 @query
 def grouped_ledger(t):
     return TaxBuffer(t).grouped

@@ -12,6 +12,7 @@ from saldo.catalogue import MONTH
 from saldo.operators import balance, chains, dedup, pricing
 from saldo.plans.book import SalesBook
 from saldo.plans.buffer import TaxBuffer
+from saldo.plans.sql import register_ledger
 from saldo.session import SQL_OPTIONS, shared_folder
 from conftest import SMALL
 
@@ -45,6 +46,18 @@ def test_period_and_company_reach_the_scan(tables):
     assert "l_discount" not in scan.split("ReadSchema")[1]
 
 
+def test_period_of_the_sql_function_reaches_the_scan(spark, tables):
+    name = register_ledger(spark, tables)
+    text = physical(spark.sql(f"select comp_scala, sum(amount_loc) as total from {name}(1996, 12, '31') group by 1"))
+    scan = next(line for line in text.splitlines() if "lineitem.parquet" in line)
+    assert "GreaterThanOrEqual(l_shipdate" in scan and "LessThan(l_shipdate" in scan
+    assert "l_discount" not in scan.split("ReadSchema")[1] and "PythonUDF" not in text
+    ledger = TaxBuffer(tables).ungrouped
+    year = spark.sql(f"select * from {name}(1996, null, null)")
+    assert year.count() == ledger.where("year(paydate) = 1996").count() > 0
+    assert year.columns == ledger.columns
+
+
 def test_direct_branches_scan_the_ledger_once(tables):
     text = physical(SalesBook(tables).direct())
     # the write-off list, which the demo tables take from the same file, is staged before
