@@ -47,7 +47,8 @@ SHARE = 0.5
 ENOUGH_WORDS = 20
 MATCH, OTHER, GAP = 2, -1, -1
 DROPPED = 2 / 3  # of an item's weight, given up by its most frequent pairs
-SEGMENT = 1 << 20  # characters of a text, or words of a batch, handled at once
+SEGMENT = 1 << 19  # characters of a text handled at once
+WORDS = 1 << 17  # words handled at once
 # Scripts that are written without blanks: Thai, Lao, Burmese, Khmer, kana, Han.
 NO_BLANKS = (
     "\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e81-\u0ecd\u0ed0-\u0edf\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u17e0-\u17e9"
@@ -203,16 +204,16 @@ def hits_of(texts: DataFrame, seeds: DataFrame) -> DataFrame:
                 for part in segments(text):
                     size[-1] += len(part)
                     words += part
-                    if len(words) >= SEGMENT:
+                    if len(words) >= WORDS:
                         held.append(hashes(words))
                         words = []
             numbers = np.concatenate([*held, hashes(words)])
             row = np.repeat(batch["row"].to_numpy(np.int64), size)
             place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            for low in range(0, len(numbers), SEGMENT):
-                some = slice(low, low + SEGMENT + 2)
+            for low in range(0, len(numbers), WORDS):
+                some = slice(low, low + WORDS + 2)
                 for apart, keys, at in seeds_from(numbers[some]):
-                    found = passing(shared.value, keys & MASK) & (at < SEGMENT)
+                    found = passing(shared.value, keys & MASK) & (at < WORDS)
                     at, keys = at[found] + low, keys[found]
                     same = row[at] == row[at + apart]
                     yield pd.DataFrame({"row": row[at][same], "key": keys[same], "at": place[at][same], "apart": apart})
