@@ -42,6 +42,8 @@ from saldo.session import staged
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
 CHUNK = 32768
+# Characters whose ids are Python lists at once.
+ENCODED = 1 << 19
 REMEMBERED = 100_000
 BLANK = "▁"
 NEVER = -np.inf
@@ -239,12 +241,30 @@ def cut(escaped: str, size: int, context: int) -> Iterator[tuple[int, int, str,
         yield i, total, escaped[start : high + context], low - start, high - start
 
 
-def list_array(rows: list[list[int] | None]) -> pa.Array:
-    """Arrow list column of lists of ids."""
-    sizes = np.array([0 if x is None else len(x) for x in rows], np.int64)
-    flat = np.fromiter(chain.from_iterable(x for x in rows if x), np.int32, int(sizes.sum()))
-    missing = pa.array([x is None for x in rows], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat, mask=missing)
+def slices(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """Texts in order, some `size` characters at a time."""
+    held, filled = [], 0
+    for text in texts:
+        if held and filled + len(text or "") > size:
+            yield held
+            held, filled = [], 0
+        held.append(text)
+        filled += len(text or "")
+    if held:
+        yield held
+
+
+def flat_ids(rows: list[list[int]]) -> tuple[list[int], np.ndarray]:
+    """Sizes of lists of ids, and all ids."""
+    sizes = [len(x) for x in rows]
+    return sizes, np.fromiter(chain.from_iterable(rows), np.int32, sum(sizes))
+
+
+def list_array(missing: list[bool], sizes: list[int], flat: list[np.ndarray]) -> pa.Array:
+    """Arrow list column of lists of ids; `sizes` has a 0 for what is missing."""
+    offsets = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))
+    ids = np.concatenate([*flat, np.empty(0, np.int32)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids, mask=pa.array(missing, pa.bool_()))
 
 
 def read_model(path: str = MODEL) -> bytes:
@@ -271,9 +291,13 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk
 
     def encode(texts: pa.Array) -> pa.Array:
-        pieces, rows = loaded(shared.value), texts.to_pylist()
-        ids = iter(pieces.bare.encode([pieces.escaped(x) for x in rows if x is not None], num_threads=1))
-        return list_array([None if x is None else next(ids) for x in rows])
+        pieces, rows, sizes, flat = loaded(shared.value), texts.to_pylist(), [], []
+        # ids leave Python's lists, ten times their size, slice by slice
+        for part in slices(rows, ENCODED):
+            own, ids = flat_ids(pieces.bare.encode([pieces.escaped(x or "") for x in part], num_threads=1))
+            sizes += own
+            flat.append(ids)
+        return list_array([x is None for x in rows], sizes, flat)
 
     direct = slim.where(~giant).withColumn("token_ids", F.arrow_udf(encode, "array<int>").asNondeterministic()(F.col("text")))
 
@@ -305,7 +329,7 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
             rows = []
             for x in batch.itertuples():
                 own = Chunk(pieces, x.body, x.low, x.high, x.part == 0, x.part == x.parts - 1)
-                rows.append((x.row, x.part, own.ids(x.entry, x.exit)))
+                rows.append((x.row, x.part, np.array(own.ids(x.entry, x.exit), np.int32)))
             yield pd.DataFrame(rows, columns=["row", "part", "ids"])
 
     giants = staged(slim.where(giant).withColumn("__row", F.monotonically_increasing_id()), "giant-texts")
