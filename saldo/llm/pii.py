@@ -2,19 +2,22 @@
 
 High-recall generators propose spans that may overlap: the four base patterns (e-mail, address, card, phone)
 with and without their checks, and two wider ones (spelled-out e-mail signs, phone numbers without a
-country code). Boosted trees learn from format and context which candidates pass their check, and never see the
-check itself. On held-out documents the least score at which PRECISION of the candidates pass is the
-threshold of a kind. Base spans that pass their check always stay; other candidates are added if they
-reach the threshold and overlap no base span. Everything on the tables is DataFrame functions.
+country code). Boosted trees learn from format and context which candidates are right, and never see the labels' source:
+a base candidate is right if it passes its check; a wider one, which has no check, if the corpus attests it, that is if
+a checked base span somewhere has the same domain or the same last ten digits. On held-out documents the least score at
+which PRECISION of the candidates are right is the threshold, one for each kind and form (base or wider). Where a form's
+candidates show only one outcome, or too few are held out, it adds nothing. Base spans that pass their check always
+stay; other candidates are added if they reach the threshold and overlap no base span. Everything on the tables is
+DataFrame functions.
 
 Scale: texts are read once, where they lie; what goes on are candidates with 24 characters before and 12
-after. All features are small whole numbers, so the trees are fitted on counts per feature cell: CELLS
+after. What base spans attest is one row for each domain or number, joined to the wider candidates alone. All features are small whole numbers, so the trees are fitted on counts per feature cell: CELLS
 at most, whatever the corpus, and over all of it. The model goes back as one expression of CASE WHENs.
 Patterns use possessive groups, so long runs cost neither stack nor repeated scans. A text's spans are put in order
 by windows over that text alone.
 
 Defined cases: a null or empty text has no span (digest of the empty string). Positions are code points, the end
-excluded. A kind with too few held-out candidates (LEAST) adds nothing. Repeated rows and null ids stay.
+excluded. A form with fewer than LEAST held-out candidates adds nothing. Repeated rows and null ids stay.
 """
 
 from __future__ import annotations
@@ -43,9 +46,9 @@ WIDE = {
     "phone": r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
 BEFORE, AFTER = 24, 12
-FEATURES = ("kind", "length", "digits", "signs", "left", "right", "topic")
-LEVELS = (4, 10, 21, 6, 5, 5, 5)
-CELLS = 4 * 10 * 21 * 6 * 5 * 5 * 5
+FEATURES = ("kind", "form", "length", "digits", "signs", "left", "right", "topic")
+LEVELS = (4, 2, 10, 21, 6, 5, 5, 5)
+CELLS = 4 * 2 * 10 * 21 * 6 * 5 * 5 * 5
 TREES, DEPTH, RATE = 30, 3, 0.3
 PRECISION, LEAST = 0.98, 50
 
@@ -86,6 +89,15 @@ def passes(kind: Column, match: Column) -> Column:
     return F.when(kind == 0, True).when(kind == 1, ip).when(kind == 2, card).otherwise(count.between(9, 15))
 
 
+def attested_by(kind: Column, match: Column) -> Column:
+    """What a checked span must share with a wider candidate to attest it: the domain of an address, with its signs
+    written out, or the last ten digits of a phone number."""
+    address = F.substring_index(F.regexp_replace(F.lower(match), r" ?(?:@|\(at\)|\[at\]) ?", "@"), "@", -1)
+    domain = F.regexp_replace(address, r" ?(?:\.|\(dot\)|\[dot\]) ?", ".")
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    return F.when(kind == 0, domain).when((kind == 3) & (F.length(digits) >= 10), F.right(digits, F.lit(10)))
+
+
 def side(char: Column) -> Column:
     """Class of a neighbouring character: none or blank, letter, digit, sign that joins, other."""
     return (
@@ -103,6 +115,7 @@ def features(rows: DataFrame) -> DataFrame:
     )
     plain = F.regexp_replace(match, "[^0-9]", "")
     return rows.withColumns({
+        "form": F.when(F.col("base"), 0).otherwise(1),
         "length": F.least(F.floor(F.length("match") / 3), F.lit(9)).cast("int"),
         "digits": F.least(F.length(plain), F.lit(20)),
         "signs": F.least(F.length(F.regexp_replace(match, "[A-Za-z0-9]", "")), F.lit(5)),
@@ -162,58 +175,73 @@ def chance(start: float, trees: list) -> Column:
     return 1 / (1 + F.exp(-score))
 
 
-def thresholds(cells: np.ndarray, chances: np.ndarray, total: np.ndarray, good: np.ndarray) -> list[float]:
-    """For each kind the least chance down to which PRECISION of the candidates pass; above 1 if there is none."""
-    out = []
-    for kind in range(len(KINDS)):
-        own = cells[:, 0] == kind if len(cells) else np.zeros(0, bool)
-        levels = sorted({round(float(x), 12) for x in chances[own]}, reverse=True)
+def thresholds(cells: np.ndarray, chances: np.ndarray, total: np.ndarray, good: np.ndarray) -> dict[tuple[int, int], float]:
+    """For each kind and form the least chance down to which PRECISION of the candidates are right. A form whose candidates
+    are all right or all wrong has none, since nothing tells the two apart."""
+    out = {}
+    for kind, form in np.ndindex(LEVELS[:2]):
+        own = (cells[:, 0] == kind) & (cells[:, 1] == form)
         n = g = 0.0
-        least = 2.0
-        for level in levels:
+        if not 0 < good[own].sum() < total[own].sum():
+            continue
+        for level in sorted({round(float(x), 12) for x in chances[own]}, reverse=True):
             at = own & (np.abs(chances - level) < 1e-9)
             n, g = n + total[at].sum(), g + good[at].sum()
             if g < PRECISION * n:
                 break
-            least = level - 1e-9 if n >= LEAST else least
-        out.append(least)
+            if n >= LEAST:
+                out[kind, form] = level - 1e-9
     return out
 
 
 # ---- the operator --------------------------------------------------------------------------------
 
+def numbered(documents: DataFrame) -> DataFrame:
+    return documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
+
+
+def labelled(rows: DataFrame) -> DataFrame:
+    """The candidates that can be right or wrong, with the mark `good`: base ones by their check, wider ones that are free
+    of checked spans by what checked spans attest."""
+    known = rows.where("ok and key is not null").select("kind", "key").distinct().withColumn("attested", F.lit(True))
+    wide = rows.where("not base and free").join(staged(known, "attested"), ["kind", "key"], "left")
+    base = rows.where("base").select("held_out", *FEATURES, F.col("ok").alias("good"))
+    return base.unionByName(wide.select("held_out", *FEATURES, F.coalesce("attested", F.lit(False)).alias("good")))
+
+
 def find_personal_data(documents: DataFrame) -> DataFrame:
     """(row, doc_id, spans): every row of `documents` with its spans, structs (kind, start, end, base, chance, match)
     in the order of kind and start."""
-    read = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    held = staged(read.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", held_out(F.col("doc_id")).alias("held_out"),
-        all_candidates(F.col("text")).alias("found"),
-    ), "candidates")
+    return spans_of(numbered(documents))
+
+
+def spans_of(rows: DataFrame) -> DataFrame:
+    """`find_personal_data` for rows that have their numbers."""
+    held = staged(rows.select("row", "doc_id", held_out(F.col("doc_id")).alias("held_out"), all_candidates(F.col("text")).alias("found")), "candidates")
     each = held.where(F.size("found") > 0).select("row", "held_out", F.explode("found").alias("c")).select("row", "held_out", "c.*")
     before = W.partitionBy("row", "kind", "base").orderBy("number").rowsBetween(W.unboundedPreceding, -1)
     size = F.char_length("match")
     placed = each.withColumn("start", F.coalesce(F.sum(F.col("gap") + size).over(before), F.lit(0)) + F.col("gap"))
     placed = placed.withColumns({"end": F.col("start") + size, "ok": F.col("base") & passes(F.col("kind"), F.col("match"))})
+    line = W.partitionBy("row").orderBy("start", F.desc("ok"), "end", "kind")
+    sure_end = F.max(F.when(F.col("ok"), F.col("end"))).over(line.rowsBetween(W.unboundedPreceding, -1))
+    sure_start = F.min(F.when(F.col("ok"), F.col("start"))).over(line.rowsBetween(1, W.unboundedFollowing))
+    free = F.coalesce(sure_end <= F.col("start"), F.lit(True)) & F.coalesce(sure_start >= F.col("end"), F.lit(True))
+    placed = placed.withColumns({"free": free, "key": attested_by(F.col("kind"), F.col("match"))})
     rows = staged(features(placed), "placed-candidates")
-    counts = rows.where("base").groupBy("held_out", *FEATURES).agg(
-        F.count("*").alias("n"), F.sum(F.col("ok").cast("int")).alias("good")
+    counts = labelled(rows).groupBy("held_out", *FEATURES).agg(
+        F.count("*").alias("n"), F.sum(F.col("good").cast("int")).alias("good")
     ).orderBy("held_out", *FEATURES).collect()
     cells = np.array([[r[f] for f in FEATURES] for r in counts], np.int64).reshape(-1, len(FEATURES))
     total, good = np.array([r["n"] for r in counts], float), np.array([r["good"] for r in counts], float)
     out = np.array([r["held_out"] for r in counts], bool)
     start, trees = boost(cells[~out], total[~out], good[~out])
     raw = start + RATE * sum((leaf(t, cells[out]) for t in trees), np.zeros(int(out.sum())))
-    least = thresholds(cells[out], 1 / (1 + np.exp(-raw)), total[out], good[out])
     floor = F.lit(2.0)
-    for kind, value in enumerate(least):
-        floor = F.when(F.col("kind") == kind, F.lit(value)).otherwise(floor)
-    scored = rows.withColumn("chance", chance(start, trees)).where(F.col("ok") | (F.col("chance") >= floor))
-    line = W.partitionBy("row").orderBy("start", F.desc("ok"), "end", "kind")
-    sure_end = F.max(F.when(F.col("ok"), F.col("end"))).over(line.rowsBetween(W.unboundedPreceding, -1))
-    sure_start = F.min(F.when(F.col("ok"), F.col("start"))).over(line.rowsBetween(1, W.unboundedFollowing))
-    free = F.coalesce(sure_end <= F.col("start"), F.lit(True)) & F.coalesce(sure_start >= F.col("end"), F.lit(True))
-    alone = scored.withColumn("free", free).where("ok or free")
+    for (kind, form), value in thresholds(cells[out], 1 / (1 + np.exp(-raw)), total[out], good[out]).items():
+        floor = F.when((F.col("kind") == kind) & (F.col("form") == form), F.lit(value)).otherwise(floor)
+    scored = rows.withColumn("chance", chance(start, trees))
+    alone = scored.where(F.col("ok") | F.col("free") & (F.col("chance") >= floor))
     # of added spans that overlap each other, the likelier stays
     added = ~F.col("ok")
     last_end = F.lag(F.when(added, F.col("end"))).over(line)
@@ -237,8 +265,9 @@ def span_text(spans: Column) -> Column:
 def redact(documents: DataFrame) -> DataFrame:
     """(doc_id, text) with every found span replaced by its kind in brackets. Spans that overlap are replaced
     together, by the kind of the one that starts first (the longest of those)."""
-    found = find_personal_data(documents).select("row", "spans")
-    texts = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
+    # text and number are written together, so that a span cannot meet another row's text
+    texts = staged(numbered(documents), "numbered-texts")
+    found = spans_of(texts).select("row", "spans")
     names = F.array(*[F.lit(k) for k in KINDS])
     # from the last to the first by start; `open` is the union that may still grow to the left
     by_start = F.array_sort("spans", lambda a, b: F.when(

@@ -114,6 +114,35 @@ def test_op2_model_adds_likely_spans_and_spares_others(spark):
     assert {r["doc_id"]: r["text"] for r in out}[1] == "call [phone] now"
 
 
+def test_op2_spelled_out_addresses_need_attested_domains(spark):
+    """Spelled-out addresses are found in contexts in which the corpus attests most of them, and ordinary words are not."""
+    rnd, texts = random.Random(4), []
+    odd = ["We meet (at) noon. then go home", "Look [at] this. And that"]
+    for i in range(1200):
+        domain = f"site{rnd.randint(1, 9)}.org"
+        texts.append((f"write u{i}@{domain} now", f"mail to u{i} (at) {domain} now", f"They met (at) noon{i}. then left")[i % 3])
+    texts += [*odd, "mail to u77 (at) else7.org now"]
+    got = {r["doc_id"]: r["spans"] for r in pii.op2_personal_data(documents(spark, texts)).collect()}
+    assert all(got[i].startswith("email:") for i in range(1200) if i % 3 < 2)
+    assert not any(got[i] for i in range(1200) if i % 3 == 2)
+    # a domain that nothing attests is found where format and context are those of attested ones
+    assert (got[1200], got[1201]) == ("", "") and got[1202] == "email:8:26"
+
+
+def test_op2_adds_nothing_without_both_outcomes(spark):
+    """Many ordinary addresses are no evidence about spelled-out ones."""
+    texts = [f"write u{i}@site.org now" for i in range(400)] + ["We meet (at) noon. then go home", "Look [at] this. And that"]
+    got = {r["doc_id"]: r["spans"] for r in pii.op2_personal_data(documents(spark, texts)).collect()}
+    assert (got[400], got[401]) == ("", "") and all(got[i] for i in range(400))
+
+
+def test_op2_redact_cuts_each_text_by_its_own_spans(spark):
+    texts = [f"{'x' * (i % 7)} u{i}@site.org and {i}" if i % 2 else f"{i} none" for i in range(200)]
+    docs = documents(spark, texts).repartition(7, F.rand())
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert got == {i: f"{'x' * (i % 7)} [email] and {i}" if i % 2 else f"{i} none" for i in range(200)}
+
+
 def test_op3_keeps_clean_text(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     labels = table(spark, "/root/testdata/sf0.01", "labels")
