@@ -123,9 +123,24 @@ def operations_buffer(tables: Tables, period: Period | None = None,
                       scope: DataFrame | None = None) -> DataFrame:
     """Movements of all companies, or of those in ``scope``, with their invoice document, the credited
     invoice and the company it belongs to."""
-    companies, movements = tables["company_main"], tables["operations_lib"]
+    rows = with_invoices(tables, company_movements(tables, period, scope))
+    return rows.select(*OPERATIONS_COLUMNS, *INVOICE_COLUMNS)
+
+
+def company_movements(tables: Tables, period: Period | None = None,
+                      scope: DataFrame | None = None) -> DataFrame:
+    """Movements of all companies, or of those in ``scope``, with the id of their company."""
+    movements = tables["operations_lib"]
     if scope is not None:
         movements = movements.join(scope.select("comp_scala"), "comp_scala", "left_semi")
+    return movements.filter(in_period(period, F.col("book_date"))).join(
+        tables["company_main"].select("comp_scala", "id_company"), "comp_scala"
+    )
+
+
+def with_invoices(tables: Tables, rows: DataFrame) -> DataFrame:
+    """``rows`` with what the buffer takes from their invoice, if there is one."""
+    companies = tables["company_main"]
     invoices = tables["invoices"].select(
         F.col("invoice_number").alias("invoice"), "id_company", "factura_number",
         "invoice_no_cred", F.col("filial_no_cred"), F.col("book_date").alias("invoice_book_date"),
@@ -135,13 +150,10 @@ def operations_buffer(tables: Tables, period: Period | None = None,
         F.col("id_company").alias("filial_no_cred"), F.col("comp_scala").alias("comp_scala_cred")
     )
     return (
-        movements.filter(in_period(period, F.col("book_date")))
-        .join(companies.select("comp_scala", "id_company"), "comp_scala")
-        .join(invoices, ["invoice", "id_company"], "left")
+        rows.join(invoices, ["invoice", "id_company"], "left")
         .join(credited, "filial_no_cred", "left")
         .withColumns({"invoice_date": F.col("inv_book_date"),
                       "has_invoice": F.coalesce("has_invoice", F.lit(False))})
-        .select(*OPERATIONS_COLUMNS, *INVOICE_COLUMNS)
     )
 
 
@@ -250,7 +262,19 @@ class TaxBuffer:
     @cached_property
     def ledger(self) -> DataFrame:
         """Movements of known customers."""
-        return self.movements.join(self.customers, ["master", "org_code"])
+        return self._get("ledger")
+
+    def _ledger(self) -> DataFrame:
+        """From a stored buffer, which has the invoices. Without one they are joined last, when accounts,
+        customers and the rules of the branch have taken out most movements."""
+        if "buffer" in self.stored:
+            return self._known(self.movements.drop("account_name", "tax_rep", "s", "curr", "hist_rate"))
+        return with_invoices(self.tables, self._known(self._placed(
+            company_movements(self.tables, self.period, self.scope)
+        )))
+
+    def _known(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.customers, ["master", "org_code"])
 
     @cached_property
     def wraps(self) -> DataFrame:
@@ -268,12 +292,17 @@ class TaxBuffer:
             "mnth", "year_v",
         )))
 
+    @cached_property
+    def moved(self) -> DataFrame:
+        """Invoices moved in billing."""
+        return staged(self.tables["billing_moving"].select(
+            "comp_scala", "invoice", F.col("invoice").alias("invoice_billing_moving")
+        ).distinct(), "moved")
+
     def _with_flags(self, rows: DataFrame) -> DataFrame:
         """Mark accruals moved in billing and payments that were wrapped. Rows that cannot match
         keep NULL; the marks never multiply rows."""
-        moved = staged(self.tables["billing_moving"].select(
-            "comp_scala", "invoice", F.col("invoice").alias("invoice_billing_moving")
-        ).distinct(), "moved")
+        moved = self.moved
         wraps = self.wraps if "wraps" in self.stored else staged(self.wraps, "wraps")
         wrapped = wraps.select(
             "comp_scala", "invoice", "pay_line", F.col("pay_date").alias("book_date"),

@@ -227,3 +227,11 @@ def test_month_run_stages_only_its_companies_and_dates(tables):
 
 def test_wraps_need_no_invoices(tables):
     assert "orders" not in plan(TaxBuffer(tables)._wraps())
+
+
+def test_invoices_are_joined_after_accounts_and_customers(tables):
+    buffer = TaxBuffer(tables)
+    for branch in (buffer.grouped_payments, buffer.payments, buffer.accruals):
+        joins = [line for line in physical(branch()).splitlines() if "Join" in line]
+        at = lambda key: next(i for i, line in enumerate(joins) if key in line)
+        assert at("[invoice#") < at("org_code#") < at("acc#")
