@@ -75,6 +75,7 @@ def run_buffer_steps(spark: SparkSession, tables: Tables, out: str, period: Peri
         buffer = operations_buffer(tables, period).filter(in_scope)
         reload(BUFFER, buffer)
         run.stored["buffer"] = spark.read.schema(buffer.schema).parquet(f"{out}/{BUFFER}").filter(in_scope)
+        run.stored["ledger"] = staged(run._ledger(), "ledger")
         reload(WRAPS, _dated(advance_wraps(run.movements), F.col("pay_date")))
         run.stored["wraps"] = run.__dict__["wraps"] = stored_table(spark, out, WRAPS).drop("year_v", "mnth")
         for name in (UNGROUPED, GROUPED):

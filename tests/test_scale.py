@@ -229,6 +229,12 @@ def test_wraps_need_no_invoices(tables):
     assert "orders" not in plan(TaxBuffer(tables)._wraps())
 
 
+def test_branches_of_a_staged_run_read_the_joined_ledger(tables):
+    """The buffer meets accounts and customers once, not once per branch."""
+    text = physical(TaxBuffer(tables).stage().publish())
+    assert "/buffer-" not in text and "/ledger-" in text
+
+
 def test_invoices_are_joined_after_accounts_and_customers(tables):
     buffer = TaxBuffer(tables)
     for branch in (buffer.grouped_payments, buffer.payments, buffer.accruals):
