@@ -33,3 +33,28 @@ def latest_before(
     found = F.coalesce(F.when(F.size(here) > 0, F.element_at(here, -1)), F.col("_carried"))
     joined = rows.withColumn("_bucket", bucket(F.col(time))).join(table, [*keys, "_bucket"], "left")
     return joined.withColumn(value, found["value"]).drop("_bucket", "_events", "_carried")
+
+
+def latest_within(
+    rows: DataFrame, events: DataFrame, keys: Sequence[str], time: str, value: str, slot: Callable[[Column], Column], slots: int,
+) -> DataFrame:
+    """The same for keys that span a short time, such as one day, which ``slot`` cuts into at most ``slots`` pieces.
+
+    What is staged grows with the events alone: the events of each slot, and for each keys the last event of every slot that has one
+    (an array of at most ``slots``). Rows meet both in equi-joins, so again no key's rows meet in one task.
+    """
+    event = F.struct(F.col(time).alias("at"), F.col(value).alias("value"))
+    fine = staged(events.filter(F.col(time).isNotNull()).groupBy(*keys, slot(F.col(time)).alias("_slot")).agg(
+        F.array_sort(F.collect_list(event)).alias("_events")
+    ), "slots")
+    last = F.struct("_slot", F.element_at("_events", -1).alias("last"))
+    whole = staged(fine.groupBy(*keys).agg(F.array_sort(F.collect_list(last)).alias("_lasts")).filter(
+        F.when(F.size("_lasts") > slots, F.raise_error(F.lit(f"a key spans more than {slots} slots")).cast("boolean")).otherwise(True)
+    ), "last-of-slots")
+    earlier = F.filter("_lasts", lambda e: e["_slot"] < F.col("_slot"))
+    found = rows.withColumn("_slot", slot(F.col(time))).join(whole, list(keys), "left").withColumn(
+        "_earlier", F.when(F.size(earlier) > 0, F.element_at(earlier, -1)["last"])
+    ).drop("_lasts").join(fine, [*keys, "_slot"], "left")
+    here = F.filter("_events", lambda e: e["at"] < F.col(time))
+    picked = F.coalesce(F.when(F.size(here) > 0, F.element_at(here, -1)), F.col("_earlier"))
+    return found.withColumn(value, picked["value"]).drop("_slot", "_events", "_earlier")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import styled
-from saldo.operators.asof import latest_before
+from saldo.operators.asof import latest_before, latest_within
 
 PRODUCT, PRICE, SET_AT, ROW = "kodtov", "cena", "data", "id"
+MINUTES_OF_A_DAY = 24 * 60
 
 
 def _last_of_each_day(prices: DataFrame) -> DataFrame:
@@ -83,13 +84,14 @@ def prices_effective(rows: DataFrame, prices: DataFrame, at: str) -> DataFrame:
 def prices_before(rows: DataFrame, prices: DataFrame, at: str) -> DataFrame:
     """Every row with the price set last strictly before its own moment ``at``, and the last price of an earlier calendar day.
 
-    A price of the moment's own day is looked up among that day's changes, in buckets of a minute; otherwise the last
+    A price of the moment's own day is looked up among that day's changes, in slots of a minute; otherwise the last
     price of an earlier day counts."""
     changes = prices.groupBy(PRODUCT, SET_AT).agg(F.max_by(PRICE, ROW).alias(PRICE)).select(
         PRODUCT, F.to_date(SET_AT).alias("day"), F.col(SET_AT).alias("_at"), F.struct(PRICE, SET_AT).alias("_own")
     )
     moments = rows.withColumns({"day": F.to_date(at), "_at": F.col(at).cast("timestamp_ntz")})
-    own = latest_before(moments, changes, [PRODUCT, "day"], "_at", "_own", lambda time: F.date_trunc("minute", time))
+    minute = lambda time: F.hour(time) * 60 + F.minute(time)
+    own = latest_within(moments, changes, [PRODUCT, "day"], "_at", "_own", minute, MINUTES_OF_A_DAY)
     found = _by_day(own, prices).drop("day", "_at").withColumns({
         "_now": F.coalesce("_own", "_pair.now"),
         "_before": F.when(F.col("_own").isNotNull(), F.col("_pair.now")).otherwise(F.col("_pair.before")),

@@ -241,3 +241,19 @@ def test_invoices_are_joined_after_accounts_and_customers(tables):
         joins = [line for line in physical(branch()).splitlines() if "Join" in line]
         at = lambda key: next(i for i, line in enumerate(joins) if key in line)
         assert at("[invoice#") < at("org_code#") < at("acc#")
+
+
+def test_staged_price_tables_grow_with_prices_alone(spark, monkeypatch):
+    from saldo.operators import asof
+    written, staged = [], asof.staged
+    monkeypatch.setattr(asof, "staged", lambda df, name: (lambda out: (written.append(out.count()), out)[1])(staged(df, name)))
+    prices = spark.range(20).select(
+        F.lit("a").alias("kodtov"), F.col("id").cast("decimal(10,2)").alias("cena"), "id",
+        F.expr("timestamp_ntz'2024-01-02 10:00:00' + make_dt_interval(0, 0, 0, 30 * id)").alias("data"))
+    lines = spark.range(1440 * 3).select(
+        F.lit("a").alias("kodtov"), "id", F.expr("timestamp_ntz'2024-01-01 00:00:15' + make_dt_interval(0, 0, id)").alias("at"))
+    found = {r["at"]: (r["price"], r["previous_price"]) for r in pricing.prices_before(lines, prices, "at").collect()}
+    assert max(written) <= 20
+    for at, (price, before) in found.items():
+        day = [r for r in range(20) if (at.day, at.hour * 3600 + at.minute * 60 + at.second) > (2, 36000 + 30 * r)]
+        assert (price, before) == (max(day) if day else None, None)
