@@ -6,7 +6,7 @@ of 3 blocks (35 keys of 27 or 28 bits), fingerprints under one key are joined, a
 kept if its Hamming distance holds; a pair that shares several keys counts under the first only.
 
 Scale: equal fingerprints are one entry, so copies cost nothing. Keys that only one fingerprint has
-are dropped before the join. A key with more than CROWD fingerprints is not paired: fingerprints in
+are dropped before the join, most of them by a bitmap of the shared keys before anything is shuffled. A key with more than CROWD fingerprints is not paired: fingerprints in
 such a key are linked through midpoints instead. Two fingerprints differ in at most 4 bits exactly if some
 point is at most 2 bits from both, so each lists the 2,081 points around it and is linked to the least
 fingerprint of each point. That is exact and linear in their number. Links of a crowded fingerprint to
@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saldo.llm.bitmap import MASK, bitmap, passing
 from saldo.llm.common import bound_batches
 from saldo.llm.components import components
 from saldo.session import staged
@@ -106,7 +107,7 @@ def links(fingerprints: DataFrame, crowd: int = CROWD) -> DataFrame:
         "fp", F.col("k.key").alias("key"), F.col("k.choice").alias("choice")
     )
     sizes = staged(listed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes")
-    shared = staged(listed.join(sizes, "key"), "block-members")
+    shared = staged(likely_members(fingerprints, sizes).join(sizes, "key"), "block-members")
     paired = shared.where(F.col("n") <= crowd).select("fp", "key", "choice")
     other = paired.select(F.col("fp").alias("other"), "key")
     close = (distance(F.col("fp"), F.col("other")) <= RADIUS) & (F.col("fp") < F.col("other"))
@@ -119,6 +120,21 @@ def links(fingerprints: DataFrame, crowd: int = CROWD) -> DataFrame:
     return joined.unionByName(midpoint_links(crowded))
 
 
+def likely_members(fingerprints: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(fp, key, choice): every fingerprint under its keys that are in `sizes`, and few under others, so that the join with
+    `sizes` moves what is shared instead of every key."""
+    known = bitmap(sizes, F.col("key").bitwiseAND(F.lit(MASK)))
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = np.array(batch["keys"].tolist(), np.int64).reshape(-1, len(CHOICES))
+            row, choice = np.nonzero(passing(known.value, keys & MASK))
+            yield pd.DataFrame({"fp": batch["fp"].to_numpy(np.int64)[row], "key": keys[row, choice], "choice": choice.astype(np.int32)})
+
+    keys = F.transform(block_keys(F.col("fp")), lambda k: k["key"]).alias("keys")
+    return fingerprints.select("fp", keys).mapInPandas(look, "fp long, key long, choice int")
+
+
 def midpoint_links(crowded: DataFrame) -> DataFrame:
     """(a, b): each fingerprint with the least one around each of its midpoints."""
     bits = [1 << i if i < 63 else -(1 << 63) for i in range(64)]

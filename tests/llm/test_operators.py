@@ -528,3 +528,14 @@ def test_language_floor_does_not_hang_on_labels_or_length(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = {r["doc_id"] for r in language_id.keep_known_language(docs).where("doc_id >= 1000").collect()}
     assert kept == {*range(1000, 1020), 2000}
+
+
+def test_op7_joins_only_what_may_share_a_key(spark):
+    """Distant fingerprints share no key; those of one pair do, under all keys whose blocks agree."""
+    fps = [simhash.fingerprint(f"text number {i} stands {i * i} alone") for i in range(400)]
+    table = spark.createDataFrame([(x,) for x in {*fps, fps[0] ^ 1}], "fp long")
+    listed = table.select("fp", F.explode(simhash.block_keys(F.col("fp"))).alias("k")).select("fp", F.col("k.key").alias("key"))
+    sizes = listed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    got = {tuple(r) for r in simhash.likely_members(table, sizes).select("fp", "key").collect()}
+    want = {tuple(r) for r in listed.join(sizes, "key").select("fp", "key").collect()}
+    assert want <= got and len(want) >= 40 and len(got) < 0.02 * listed.count()
