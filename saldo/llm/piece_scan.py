@@ -267,6 +267,19 @@ def list_array(missing: list[bool], sizes: list[int], flat: list[np.ndarray]) ->
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids, mask=pa.array(missing, pa.bool_()))
 
 
+def traced(pieces: Pieces, batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """The ids of chunks whose states at both cuts are known, `size` chunks at a time: (row, part, ids)."""
+    for low in range(0, batch.num_rows, size):
+        some = batch.slice(low, size)
+        sizes, flat = [], []
+        for x in some.to_pylist():
+            own = Chunk(pieces, x["body"], x["low"], x["high"], x["part"] == 0, x["part"] == x["parts"] - 1).ids(x["entry"], x["exit"])
+            sizes.append(len(own))
+            flat.append(np.array(own, np.int32))
+        ids = list_array([False] * len(sizes), sizes, flat)
+        yield pa.RecordBatch.from_arrays([some["row"], some["part"], ids], ["row", "part", "ids"])
+
+
 def read_model(path: str = MODEL) -> bytes:
     if os.path.getsize(path) > MODEL_BYTES:
         raise ValueError(f"{path} is larger than {MODEL_BYTES} bytes")
@@ -323,14 +336,9 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
         states = cut_states(matrices)
         return pd.DataFrame({"row": group["row"], "part": group["part"], "entry": states[:-1], "exit": states[1:]})
 
-    def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = loaded(shared.value)
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for x in batch.itertuples():
-                own = Chunk(pieces, x.body, x.low, x.high, x.part == 0, x.part == x.parts - 1)
-                rows.append((x.row, x.part, np.array(own.ids(x.entry, x.exit), np.int32)))
-            yield pd.DataFrame(rows, columns=["row", "part", "ids"])
+            yield from traced(loaded(shared.value), batch, max(1, ENCODED // chunk))
 
     giants = staged(slim.where(giant).withColumn("__row", F.monotonically_increasing_id()), "giant-texts")
     parts = staged(
@@ -339,8 +347,8 @@ def encode_texts(documents: DataFrame, model: str = MODEL, chunk: int = CHUNK, k
     )
     moves = parts.mapInPandas(transfer, "row long, part int, entries int, matrix binary")
     chosen = staged(moves.groupBy("row").applyInPandas(choose, "row long, part int, entry int, exit int"), "cut-states")
-    traced = parts.join(chosen, ["row", "part"]).mapInPandas(trace, "row long, part int, ids array<int>")
-    whole = traced.groupBy(F.col("row").alias("__row")).agg(
+    ids = parts.join(chosen, ["row", "part"]).mapInArrow(trace, "row long, part int, ids array<int>")
+    whole = ids.groupBy(F.col("row").alias("__row")).agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"])).alias("token_ids")
     )
     return direct.unionByName(giants.join(whole, "__row").drop("__row"))
