@@ -7,6 +7,7 @@ are found through its own example sets, the chart through the year of the moveme
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,17 @@ TYPES = {
     **dict.fromkeys(MEASURES, MONEY), "no_tax": MONEY, "f_date": "date", "paydate": "date",
     "inv_date": "date", "vat": "int", "prc": PERCENT,
 }
+# Columns that several branches read, of a movement with its account and of an invoice with its customer.
+MOVEMENT = [
+    "comp_scala", "id_company", "customer_set", "writeoff_set", "customer_code", "invoice", "book_date",
+    "year_v", "trans_number", "pay_line", "amount_org", "amount_loc", "pay_rate", "acc", "vat", "cur",
+    "cur_known", "tax_acr", "tax_rd", "tax_pay", "advance", "auto_system",
+]
+CARD_INVOICE = [
+    "invoice_id", "chart_set", "year_v", "comp_scala", "book_date", "percent_value", "factura_number",
+    "invoice_number", "trans_number", "org_code", "org_name", "inn", "is_child", "parent_known",
+    "parent_code", "parent_name",
+]
 # Branch labels and currency names as the book stores them.
 ACCRUALS, DIFFERENCES = "Начисления", "Суммовые разницы"
 PAYMENTS, UNDER_WRITEOFF = "Платежи без РОЛ", "Под списания"
@@ -75,7 +87,7 @@ def writeoff_flag(rows: DataFrame, writeoffs: DataFrame, period: Period | None =
     ).filter(in_period(period, F.col("book_date")))
     if companies is not None:
         listed = listed.join(companies.select("comp_scala"), "comp_scala", "left_semi")
-    listed = staged(listed.distinct(), "writeoffs")
+    listed = staged(listed.distinct(), "writeoffs", compression="zstd")
     return rows.join(listed, list(WRITEOFF_KEYS), "left").withColumn(
         name, F.coalesce(name, F.lit(False))
     )
@@ -110,11 +122,19 @@ def _payments() -> Posting:
     )
 
 
+def _written_back() -> Column:
+    """Advances that the write-off list may book back."""
+    return (
+        (F.col("tax_pay") != 0) & _ungrouped() & (F.col("advance") == 1) & _paid()
+        & F.col("cur_known")
+    )
+
+
 def _writeoffs() -> Posting:
     return Posting(
         WRITEOFFS, F.lit(True), gross=_local(), inv_gross=_original(),
         values={"paydate": F.col("book_date"), "cur": F.col("cur"),
-                "prc": F.lit(0).cast(PERCENT), "acc": F.col("wo_account")},
+                "prc": F.lit(0).cast(PERCENT)},
     )
 
 
@@ -137,6 +157,14 @@ def _cards(label: str, rule: Column, day: Column) -> Posting:
     )
 
 
+def _shipped() -> Column:
+    return ~F.col("is_child")
+
+
+def _activated() -> Column:
+    return F.col("is_child") & F.col("parent_known")
+
+
 def _parent_rows(grouped: DataFrame, prefix: str, inn: Column) -> DataFrame:
     """One document per parent, account and month."""
     key = doc_key(prefix, F.col("parent_code"), F.col("acc"), F.col("paydate"))
@@ -168,33 +196,43 @@ class SalesBook:
 
     @cached_property
     def movements(self) -> DataFrame:
-        """Ledger rows with their company sets, account and customer."""
+        """Ledger rows with their company sets and account."""
         ledger = self.tables["operations"].filter(in_period(self.period, F.col("book_date")))
         return (
             ledger.withColumns({"year_v": F.year("book_date"), "acc": F.col("account")})
             .drop("account")
             .join(self.sets, "comp_scala")
             .join(self.chart, ["chart_set", "year_v", "acc"])
-            .withColumn("org_code", F.col("customer_code"))
-            .join(self.customers, ["customer_set", "org_code"], "left")
+        )
+
+    def with_customer(self, rows: DataFrame) -> DataFrame:
+        """Add the customer of a movement and its parent, if they are known."""
+        return rows.withColumnRenamed("customer_code", "org_code").join(
+            self.customers, ["customer_set", "org_code"], "left"
         )
 
     def with_invoice(self, rows: DataFrame) -> DataFrame:
-        """Add the invoice of a movement, if there is one, and what the book takes from it."""
+        """Add the invoice of a movement, if there is one, its customer, and what the book takes from
+        them. Customers come last: their names make the rows wide, and each join may shuffle them."""
         invoices = self.tables["invoices"].select(
             F.col("invoice_number").alias("invoice"), "id_company",
             F.col("factura_number").alias("factura"), F.col("book_date").alias("f_date"),
             "percent_value",
         )
-        return rows.join(invoices, ["invoice", "id_company"], "left").withColumns({
+        return self.with_customer(rows.join(invoices, ["invoice", "id_company"], "left")).withColumns({
             "cust_name": F.col("org_name"), "inv": F.col("invoice"),
             "inv_date": F.col("book_date"), "trans": F.col("trans_number"),
-            "cust_code": F.col("customer_code"),
+            "cust_code": F.col("org_code"),
         })
 
     def flagged(self, rows: DataFrame) -> DataFrame:
         return writeoff_flag(rows, self.tables["writeoff_list"], self.period, self.sets)
 
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """Movements with the flag of the write-off list."""
+        return self.flagged(self.movements)
+
     def accruals(self) -> DataFrame:
         return _book(post(self.with_invoice(self.movements), [_accruals()], RATES_BOOK))
 
@@ -205,59 +243,80 @@ class SalesBook:
 
     def payments(self) -> DataFrame:
         """Payments on accounts that are not grouped, labelled by the write-off list."""
-        rows = self.flagged(self.with_invoice(self.movements.filter(_paid())))
+        rows = self.with_invoice(self.flagged(self.movements.filter(_paid())))
         return _book(post(rows, [_payments()], RATES_BOOK))
 
     def direct(self) -> DataFrame:
         """Accruals, differences and payments in one pass over the ledger."""
-        rows = self.flagged(self.with_invoice(self.movements))
+        rows = self.with_invoice(self.labelled)
         return _book(post(rows, [_accruals(), _differences(), _payments()], RATES_BOOK))
 
-    def writeoffs(self) -> DataFrame:
-        """Written-off advances, booked back on the write-off account: one row per matching line of
-        the write-off list."""
-        rows = self.movements.filter(
-            (F.col("tax_pay") != 0) & _ungrouped() & (F.col("advance") == 1) & _paid()
-            & F.col("cur_known")
-        )
+    @cached_property
+    def booked_back(self) -> DataFrame:
+        """Written-off advances on their write-off account: one row per matching line of the write-off
+        list."""
+        rows = self.movements.filter(_written_back())
         listed = self.tables["writeoff_list"].select(
             *[F.col(theirs).alias(ours) for ours, theirs in WRITEOFF_KEYS.items()], "wo_type"
         )
-        matched = rows.join(
+        return rows.join(
             listed.filter(in_period(self.period, F.col("book_date"))), list(WRITEOFF_KEYS)
         ).join(
             writeoff_map(self.tables), ["writeoff_set", "year_v", "acc", "wo_type"],
+        ).withColumn("acc", F.col("wo_account"))
+
+    def writeoffs(self) -> DataFrame:
+        return _book(post(self.with_invoice(self.booked_back), [_writeoffs()], RATES_BOOK))
+
+    def direct_and_writeoffs(self) -> DataFrame:
+        """Both kinds of rows, joined with invoices and customers together."""
+        columns = [c for c in self.labelled.columns if c != "written_off"]
+        rows = self.labelled.withColumn("back", F.lit(False)).unionByName(
+            self.booked_back.select(*columns, F.lit(True).alias("written_off"), F.lit(True).alias("back"))
         )
-        return _book(post(self.with_invoice(matched), [_writeoffs()], RATES_BOOK))
+        postings = [replace(p, rule=~F.col("back") & p.rule) for p in (_accruals(), _differences(), _payments())]
+        postings.append(replace(_writeoffs(), rule=F.col("back")))
+        return _book(post(self.with_invoice(rows), postings, RATES_BOOK))
 
     def grouped_payments(self) -> DataFrame:
         """Payments on grouped accounts, one row per parent customer, account and month. Rows are
         rounded one by one and then added up."""
-        rows = post(self.movements, [_grouped_payments()], RATES_BOOK)
+        rows = self.movements.filter(_grouped_payments().rule)
+        rows = post(self.with_customer(rows), [_grouped_payments()], RATES_BOOK)
         keys = ["comp_scala", "paydate", "parent_code", "parent_name", "parent_inn", "cur", "vat",
                 "acc", "type"]
         return _book(_parent_rows(summed(rows, keys, MEASURES), "RG_", F.col("parent_inn")))
 
     @cached_property
     def invoice_lines(self) -> DataFrame:
-        """Lines of the invoices on accounts that report cards, with their customers."""
+        """Lines of the invoices on accounts that report cards, with their customers. Lines meet the
+        accounts with nothing but their invoice's set and year; texts are added to what is left."""
         day = F.col("book_date")
         invoices = self.tables["invoices"].filter(in_period(self.period, day)).select(
             "invoice_id", "invoice_number", "factura_number", "book_date", "id_company",
             "organization_id", "percent_value", "trans_number", F.year(day).alias("year_v"),
         )
+        # numbered, as an invoice's id may repeat
+        invoices = staged(
+            invoices.join(self.sets, "id_company").join(self.customers, ["customer_set", "organization_id"])
+            .filter(_shipped() | _activated())
+            .select(*CARD_INVOICE, F.monotonically_increasing_id().alias("invoice_row")), "card-invoices",
+            compression="zstd",
+        )
         lines = self.tables["invoices_transactions"].select(
             "invoice_id", F.col("account_b").alias("acc"), "amount_b"
         )
-        return (
-            lines.join(invoices.join(self.sets, "id_company"), "invoice_id")
+        place = ["invoice_id", "chart_set", "year_v"]
+        reported = (
+            lines.join(invoices.select("invoice_row", *place), "invoice_id")
             .join(self.chart, ["chart_set", "year_v", "acc"]).filter("tax_rep != 0")
-            .join(self.customers, ["customer_set", "organization_id"])
+            .select("invoice_row", "acc", "amount_b", "vat")
         )
+        return reported.join(invoices.drop(*place), "invoice_row").drop("invoice_row")
 
     def shipment(self) -> DataFrame:
         """Cards shipped to customers that are their own parent."""
-        posting = _cards(SHIPMENT, ~F.col("is_child"), F.col("book_date"))
+        posting = _cards(SHIPMENT, _shipped(), F.col("book_date"))
         return _book(post(self.invoice_lines, [posting], RATES_BOOK).withColumns({
             "factura": F.col("factura_number"), "f_date": F.col("book_date"),
             "cust_name": F.col("org_name"), "inv": F.col("invoice_number"),
@@ -267,18 +326,33 @@ class SalesBook:
 
     def activation(self) -> DataFrame:
         """Cards activated by child customers, one row per parent, account, percent and month."""
-        posting = _cards(ACTIVATION, F.col("is_child") & F.col("parent_known"),
-                         month_end(F.col("book_date")))
+        posting = _cards(ACTIVATION, _activated(), month_end(F.col("book_date")))
         rows = post(self.invoice_lines, [posting], RATES_BOOK)
         keys = ["comp_scala", "paydate", "parent_code", "parent_name", "cur", "vat", "prc", "acc",
                 "type"]
         return _book(_parent_rows(summed(rows, keys, MEASURES), "Act", F.lit(" ")))
 
+    def stage(self) -> None:
+        """Write what several branches read: movements that meet a rule, with their accounts, and card
+        lines with their customers. On files, neither ledger nor lines are shuffled again for the
+        accounts, which are too many for a broadcast in a large book."""
+        rules = [p().rule for p in (_accruals, _differences, _payments, _grouped_payments)]
+        self.movements = staged(
+            self.movements.filter(reduce(Column.__or__, [*rules, _written_back()])).select(*MOVEMENT), "movements",
+            compression="zstd",
+        )
+        # only payments take their label from the write-off list
+        pays = F.coalesce(_payments().rule, F.lit(False))
+        self.labelled = self.flagged(self.movements.filter(pays)).unionByName(
+            self.movements.filter(~pays).withColumn("written_off", F.lit(False))
+        )
+        self.invoice_lines = staged(self.invoice_lines, "card-lines", compression="zstd")
+
     def whole(self) -> DataFrame:
         """All branches in one table. For one company the company column is left out."""
+        self.stage()
         book = reduce(DataFrame.unionByName, [
-            self.direct(), self.writeoffs(), self.grouped_payments(), self.shipment(),
-            self.activation(),
+            self.direct_and_writeoffs(), self.grouped_payments(), self.shipment(), self.activation(),
         ])
         return book if self.company is None else book.drop("comp_scala")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,23 @@ def test_direct_branches_scan_the_ledger_once(tables):
     assert text.count("lineitem.parquet") == 1
 
 
+def test_whole_book_meets_accounts_once(tables):
+    """Movements and card lines are read from what was staged with their accounts; only the write-off list and its
+    map are read again. Customers, the widest, come after invoices and flags."""
+    text = physical(SalesBook(tables).whole())
+    assert "l_extendedprice" not in text and "tax_rep" not in text
+    direct = physical(SalesBook(tables).direct())
+    joins = [x for x in direct.splitlines() if "Join" in x and "LeftOuter" in x]
+    assert ["org_code" in x for x in joins] == [True, False, False]  # the topmost join is the last one
+
+
+def test_repeated_invoices_book_their_lines_once_each(tables):
+    twice = ChainMap({"invoices": tables["invoices"].unionByName(tables["invoices"])}, tables)
+    for branch in ("shipment", "activation"):
+        once = getattr(SalesBook(tables), branch)().agg(F.sum("fact_amt")).first()[0]
+        assert getattr(SalesBook(twice), branch)().agg(F.sum("fact_amt")).first()[0] == 2 * once != 0
+
+
 def test_reversed_payments_are_an_anti_join(tables):
     assert "LeftAnti" in physical(TaxBuffer(tables).payments())
 
