@@ -46,7 +46,10 @@ GRAM = 20
 SHARD_BYTES = 4 << 20
 SORT_BYTES = 2 << 20
 ANCHOR_BYTES = 32 << 20  # text whose anchors one bucket of step 2 compares
+BLOCK = 1 << 18  # places of a shard whose hashes are held at once
 RUN = 4096  # strings in one segment at most
+DEALT = 1 << 19  # segments or single strings that a shard deals out at once
+COMPARED = 1 << 20  # occurrences of strings that a bucket compares with their least document at once
 OFTEN_HERE, OFTEN = 32, 4  # an anchor is frequent: so many segments in a shard, in so many shards
 UNKNOWN = np.iinfo(np.int64).max  # stands for a null doc_id
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)]
@@ -85,38 +88,38 @@ def anchors(data: np.ndarray) -> np.ndarray:
 
 def string_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """A hash of all SPAN bytes from each of the places."""
-    w, out = words8(data), np.zeros(len(places), np.uint64)
+    near, out = np.lib.stride_tricks.sliding_window_view(data, 8), np.zeros(len(places), np.uint64)
     for o in (*range(0, SPAN - 7, 8), SPAN - 8):
-        out = (out ^ w[places + o]) * MIX[2]
+        out = (out ^ near[places + o].view(">u8")[:, 0]) * MIX[2]
         out ^= out >> np.uint64(31)
     return out
 
 
 def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first, past): stretches of neighbouring strings with one anchor, inside one document and of RUN
-    strings at most."""
-    keys = anchors(data)
-    if not len(keys):
-        return keys, np.empty(0, np.int64), np.empty(0, np.int64)
-    mark = np.zeros(len(data) + 1, np.int32)
-    np.add.at(mark, np.maximum(0, ends - (SPAN - 1)), 1)
-    np.add.at(mark, ends, -1)
-    inside = np.cumsum(mark)[: len(keys)] == 0
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | (keys[1:] != keys[:-1])
-    first = np.flatnonzero(begins)
-    stops = inside.copy()
+    strings at most. Anchors are computed BLOCK places at a time; only marks of one byte cover all places."""
+    n = max(0, len(data) - SPAN + 1)
+    inside = np.ones(n, bool)
+    for back in range(1, SPAN):  # strings that cross an end
+        at = ends - back
+        inside[at[(at >= 0) & (at < n)]] = False
+    begins, held, last, before = inside.copy(), [np.empty(0, np.uint64)], np.uint64(0), False
+    for a in range(0, n, BLOCK):
+        block = anchors(data[a : a + BLOCK + SPAN - 1])
+        here = inside[a : a + BLOCK]
+        begins[a : a + BLOCK] &= (block != np.append(last, block[:-1])) | ~np.append(before, here[:-1])
+        held.append(block[begins[a : a + BLOCK]])
+        last, before = block[-1], here[-1]
+    stops = inside
     stops[:-1] &= begins[1:] | ~inside[1:]
-    past = np.flatnonzero(stops) + 1
-    long = past - first > RUN
-    if long.any():
-        cuts = [np.arange(a, b, RUN) for a, b in zip(first[long], past[long], strict=True)]
-        extra_past = [np.append(c[1:], b) for c, b in zip(cuts, past[long], strict=True)]
-        first = np.concatenate([first[~long], *cuts])
-        past = np.concatenate([past[~long], *extra_past])
-        order = np.argsort(first)
-        first, past = first[order], past[order]
-    return keys[first], first, past
+    keys, first, past = np.concatenate(held), np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    parts = -(-(past - first) // RUN)
+    if (parts > 1).any():
+        which = np.repeat(np.arange(len(first)), parts)
+        part = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+        keys, first, past = keys[which], first[which] + part * RUN, past[which]
+        past = np.minimum(past, first + RUN)
+    return keys, first, past
 
 
 def codes(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -133,17 +136,19 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Places with SPAN bytes left in their segment, in the order of their next SPAN bytes. `left`: bytes
     left at each place. Each round doubles what is compared and sorts only unresolved groups."""
     words = words8(data)
-    sa = np.flatnonzero(left >= 8)
-    rank = np.zeros(len(data), np.int64)
+    sa = np.flatnonzero(left >= 8).astype(np.int32)
+    rank = np.zeros(len(data), np.int32)
     key = words[sa]
+    del words
     order = np.argsort(key)
     sa, key = sa[order], key[order]
     new = np.ones(len(sa), bool)
     new[1:] = key[1:] != key[:-1]
+    del order, key
     depth = 8
     while True:
-        group = np.flatnonzero(new)
-        which = np.cumsum(new) - 1
+        group = np.flatnonzero(new).astype(np.int32)
+        which = np.cumsum(new, dtype=np.int32) - np.int32(1)
         rank[sa] = group[which]
         if depth == SPAN:
             return sa
@@ -159,9 +164,9 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(open_)
         if len(at):
             following = rank[sa[at] + step]
-            order = np.argsort((which[at] << 32) | following)
+            order = np.argsort((which[at].astype(np.int64) << 32) | following)
             sa[at] = sa[at][order]
-            same = np.zeros(len(sa), np.int64)
+            same = np.zeros(len(sa), np.int32)
             same[at] = following[order]
             new[1:] = (which[1:] != which[:-1]) | (same[1:] != same[:-1])
 
@@ -171,10 +176,10 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, sa: np.ndarray) -> np.nd
     neighbours one byte further on share one byte less. As strings are only sorted to SPAN bytes, it is used
     where these two are neighbours again. It is carried along the text in eight interleaved passes, each
     over all places of one remainder together."""
-    before = np.full(len(data), -1, np.int64)
+    before = np.full(len(data), -1, np.int32)
     before[sa[1:]] = sa[:-1]
     words = words8(np.concatenate([data, np.zeros(16, np.uint8)]))
-    shared = np.zeros(len(data), np.int64)
+    shared = np.zeros(len(data), np.int8)
     for lane in range(8):
         at = np.arange(lane, len(data), 8)
         at = at[before[at] >= 0]
@@ -196,22 +201,22 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, sa: np.ndarray) -> np.nd
     return shared[sa]
 
 
-def string_classes(segments: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For one sub-shard: the least doc_id among equal strings for each string of each segment, one after
-    the other; the sorted distinct strings; the least doc_id of each."""
+def string_classes(segments: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For one sub-shard: the class of each string of each segment, one after the other; its bytes and the places of
+    the sorted distinct strings in them; the least doc_id of each."""
     data = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(x) for x in segments])
     ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(len(data))
+    left = np.repeat(ends.astype(np.int32), sizes) - np.arange(len(data), dtype=np.int32)
     sa = suffix_array(data, left)
     first = common_prefixes(data, left, sa) < SPAN
     first[:1] = True
     starts = np.flatnonzero(first)
     owner = np.repeat(least, sizes)
     smallest = np.minimum.reduceat(owner[sa], starts)
-    place = np.full(len(data), -1, np.int64)
+    place = np.full(len(data), -1, np.int32)
     place[sa] = np.cumsum(first) - 1
-    return place[left >= SPAN], strings_at(data, sa[starts]), smallest
+    return place[left >= SPAN], data, sa[starts], smallest
 
 
 def strings_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -232,16 +237,20 @@ def least_documents(segments: list[bytes], least: np.ndarray, sort_bytes: int =
         size += len(segment)
     parts.append(held)
     found = [string_classes([segments[i] for i in p], least[p]) for p in parts]
-    if len(found) > 1:  # cross-shard: look the strings of each sub-shard up in all others
-        smallest = [x[2].copy() for x in found]
-        for i, (_, own, _) in enumerate(found):
-            for j, (_, other, docs) in enumerate(found):
-                if i != j and len(other) and len(own):
+    if len(found) > 1:  # cross-shard: look the strings of each sub-shard up in all others, two at a time
+        smallest = [x[3].copy() for x in found]
+        for i, (_, data, places, docs) in enumerate(found):
+            own = strings_at(data, places)
+            for j in range(i + 1, len(found) if len(own) else 0):
+                other = strings_at(*found[j][1:3])
+                if len(other):
                     at = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                    hit = other[at] == own
-                    smallest[i][hit] = np.minimum(smallest[i][hit], docs[at[hit]])
-        return np.concatenate([s[c] for (c, _, _), s in zip(found, smallest, strict=True)])
-    return found[0][2][found[0][0]]
+                    hit = np.flatnonzero(other[at] == own)
+                    at = at[hit]  # strings are distinct, so a place comes once
+                    smallest[i][hit] = np.minimum(smallest[i][hit], found[j][3][at])
+                    smallest[j][at] = np.minimum(smallest[j][at], docs[hit])
+        return np.concatenate([s[x[0]] for x, s in zip(found, smallest, strict=True)])
+    return found[0][3][found[0][0]]
 
 
 # ---- the steps as Spark jobs ---------------------------------------------------------------------
@@ -353,7 +362,7 @@ def shared_anchors(often: int):
 def send_segments(anchor_buckets: int, buckets: int):
     """Segments with a shared anchor, by bucket: distinct segments once, and where they occur."""
 
-    def pieces(row, found) -> Iterator[tuple]:
+    def dealt(row, found) -> Iterator[list[tuple]]:
         data, ends, docs = opened(row)
         keys, first, past = runs(data, ends)
         code = codes(keys, anchor_buckets)
@@ -362,9 +371,15 @@ def send_segments(anchor_buckets: int, buckets: int):
         order = np.argsort(wanted)
         wanted, often = wanted[order], often[order]
         at = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
-        hit = wanted[at] == code
-        single = hit & (often[at] > 0)
-        plain = hit & ~single
+        hit = np.flatnonzero(wanted[at] == code)
+        keys, first, past, single = keys[hit], first[hit], past[hit], often[at[hit]] > 0
+        upto = np.cumsum(np.where(single, past - first, 1))
+        edges = np.flatnonzero(np.diff(upto // DEALT, prepend=-1))  # where a further DEALT of them begin
+        for x, y in zip(edges, np.append(edges[1:], len(upto)), strict=True):
+            yield list(pieces(row.shard, data, ends, docs, keys[x:y], first[x:y], past[x:y], single[x:y]))
+
+    def pieces(shard, data, ends, docs, keys, first, past, single) -> Iterator[tuple]:
+        plain = ~single
         a, b = first[plain], past[plain] + SPAN - 1
         bucket = (keys[plain] * MIX[0] >> np.uint64(20)) % np.uint64(buckets)
         if single.any():
@@ -375,21 +390,20 @@ def send_segments(anchor_buckets: int, buckets: int):
         order = np.argsort(bucket, kind="stable")
         a, b, bucket = a[order], b[order], bucket[order].astype(np.int64)
         owner = docs[np.searchsorted(ends, a, side="right")]
-        text, squeeze = data.tobytes(), zstandard.ZstdCompressor(level=1).compress
-        edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(a) else np.empty(0, np.int64)
-        for x, y in zip(edges, np.append(edges[1:], len(a)), strict=True) if len(a) else ():
+        text, squeeze = memoryview(data), zstandard.ZstdCompressor(level=1).compress
+        edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        for x, y in zip(edges, np.append(edges[1:], len(a)), strict=True):
             seen: dict[bytes, int] = {}
-            place = [seen.setdefault(text[i:j], len(seen)) for i, j in zip(a[x:y].tolist(), b[x:y].tolist(), strict=True)]
+            place = [seen.setdefault(bytes(text[i:j]), len(seen)) for i, j in zip(a[x:y].tolist(), b[x:y].tolist(), strict=True)]
             yield (
-                int(bucket[x]), row.shard, squeeze(b"".join(seen)), squeeze(pack(np.array([len(s) for s in seen]), "<u4")),
+                int(bucket[x]), shard, squeeze(b"".join(seen)), squeeze(pack(np.array([len(s) for s in seen]), "<u4")),
                 squeeze(pack(np.array(place), "<u4")), squeeze(pack(a[x:y], "<u4")), squeeze(pack(owner[x:y], "<i8")),
             )
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                rows = list(pieces(row, row.found))
-                if rows:
+                for rows in dealt(row, row.found):
                     yield pd.DataFrame(rows, columns=["bucket", "shard", "strings", "sizes", "which", "starts", "owners"])
 
     return send
@@ -416,7 +430,7 @@ def match(group: pd.DataFrame) -> pd.DataFrame:
     count = np.array([len(s) - SPAN + 1 for s in seen])
     base = np.concatenate(([0], np.cumsum(count)[:-1]))
     rows = []
-    step = max(1, (8 << 20) // int(count.max()))
+    step = max(1, COMPARED // int(count.max()))
     for x in range(0, len(which), step):
         w, n = which[x : x + step], count[which[x : x + step]]
         offset = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
@@ -452,6 +466,18 @@ def kept_of(doc: int, data: np.ndarray, gone: np.ndarray, with_text: bool) -> tu
     return (None if doc == UNKNOWN else doc, len(data), int(gone.sum()), spans, kept if with_text else None, hashlib.sha256(kept).hexdigest())
 
 
+def covered(size: int, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Mark of each byte that a stretch covers. Stretches are merged first, so that a byte of memory marks a place."""
+    mark = np.zeros(size + 1, np.int8)
+    if len(begins):
+        order = np.argsort(begins)
+        begins, reach = begins[order], np.maximum.accumulate(stops[order])
+        new = np.flatnonzero(np.append(True, begins[1:] > reach[:-1]))
+        mark[begins[new]] = 1
+        mark[reach[np.append(new[1:], len(begins)) - 1]] = -1
+    return np.cumsum(mark[:-1], dtype=np.int8).view(bool)
+
+
 def take_out(size: int, with_text: bool):
     """Cut the found stretches out of each shard's documents. Pieces of giant texts come back as they are,
     with the marks of their bytes."""
@@ -460,11 +486,9 @@ def take_out(size: int, with_text: bool):
         for batch in batches:
             for row in batch.itertuples():
                 data, ends, docs = opened(row)
-                mark = np.zeros(len(data) + 1, np.int32)
-                for x in row.found if row.found is not None else ():
-                    np.add.at(mark, np.frombuffer(x["begins"], "<u4"), 1)
-                    np.add.at(mark, np.frombuffer(x["stops"], "<u4"), -1)
-                gone = np.cumsum(mark[:-1]) > 0
+                found = row.found if row.found is not None else ()
+                begins, stops = (np.frombuffer(b"".join([x[c] for x in found]), "<u4") for c in ("begins", "stops"))
+                gone = covered(len(data), begins, stops)
                 if not pd.isna(row.giant):
                     marks = np.packbits(gone).tobytes()
                     rows = [(int(docs[0]), None, None, None, data.tobytes(), None, int(row.giant), int(row.piece), len(data), marks)]
