@@ -28,13 +28,15 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saldo.llm.bitmap import bit_of, bitmap, passes
+from saldo.llm.bitmap import BITS, MASK, bitmap, passing
 from saldo.llm.common import bound_batches
 from saldo.session import staged
 
@@ -45,48 +47,57 @@ WAVE = 4 * TOP
 GROWTH = 8
 UNIT = 1_000_000
 SLICE = 4 << 20
+STEP = 1 << 16  # bytes of text taken apart at once
 FRAME = 1 << 16  # phrases emitted at once
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 # A-Z to lower case, every end of a piece to \n, tab to blank.
 TABLE = bytes(10 if c in ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 BREAK = re.compile(rb"[ \n]")
 COUNTED = "lang string, phrase binary, f long"
+EMPTY, END = 0, 1  # numbers of what lies between two blanks in a row, and of an end of a piece; words follow
 
 
 class Words:
-    """Word occurrences of one language as numbers, -1 between pieces."""
+    """Word occurrences of one language as numbers, END between pieces."""
 
     def __init__(self) -> None:
-        self.number: defaultdict[bytes, int] = defaultdict()
+        self.number: defaultdict[bytes, int] = defaultdict(None, {b"": EMPTY, b"\n": END})
         self.number.default_factory = self.number.__len__
         self.ids: list[int] = []
         self.size = 0
         self.carried = 0
 
     def add(self, text: bytes) -> None:
-        """Add a slice of text that ends at a word's end."""
-        look = self.number.__getitem__
-        for i, piece in enumerate(text.split(b"\n")):
-            if i:
-                self.ids.append(-1)
-            self.ids.extend(map(look, piece.split()))  # only blanks and \n are left as white space
+        """Add a slice of text that ends at a word's end. Only blanks and \\n are left as white space."""
+        for part in slices(text, STEP):
+            self.ids.extend(map(self.number.__getitem__, part.replace(b"\n", b" \n ").split(b" ")))
         self.size += len(text)
 
     def end(self) -> None:
-        self.ids.append(-1)
+        self.ids.append(END)
 
-    def counts(self, length: int, keep_words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, length: int, keep_words: np.ndarray | None = None, opened=None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct phrases of `length` words (rows of word numbers) and their counts. Those that end in
-        what an earlier slice has counted are left out, as are those with a word not kept."""
-        ids = np.array(self.ids, np.int64)
-        if len(ids) < length or not self.number:
+        what an earlier slice has counted are left out, as are those with a word not kept. `opened` tells of two columns of
+        words which pairs are open; three words need an open part."""
+        ids, base = np.array(self.ids, np.int64), len(self.number)
+        ids = ids[ids != EMPTY]
+        if len(ids) < length:
             return np.zeros((0, length), np.int64), np.zeros(0, np.int64)
-        columns = [ids[i : len(ids) - length + 1 + i] for i in range(length)]
+        kept = np.ones(base, bool) if keep_words is None else keep_words.copy()
+        kept[END] = False
+        kept = kept[ids]
         fine = np.arange(length - 1, len(ids)) >= self.carried
-        for c in columns:
-            fine &= (c >= 0) if keep_words is None else (c >= 0) & keep_words[c]
-        columns = [c[fine] for c in columns]
-        code, base = columns[0], len(self.number)
+        for i in range(length):
+            fine &= kept[i : len(ids) - length + 1 + i]
+        if opened is not None:
+            at = np.flatnonzero(kept[:-1] & kept[1:])
+            open_ = np.zeros(len(ids) - 1, bool)
+            open_[at] = opened(ids[at], ids[at + 1])
+            fine &= open_[:-1] | open_[1:]
+        at = np.flatnonzero(fine)
+        columns = [ids[at + i] for i in range(length)]
+        code = columns[0]
         if length == 3:
             pairs, code = np.unique(columns[0] * base + columns[1], return_inverse=True)
         code = code if length == 1 else code * base + columns[-1]
@@ -99,11 +110,13 @@ class Words:
 
     def rest(self) -> Words:
         """What phrases of the next slice may begin with: the last two words of an unfinished piece."""
-        out = Words()
+        out, last = Words(), []
+        for i in reversed(self.ids):
+            if i == END or len(last) == 2:
+                break
+            if i != EMPTY:
+                last.insert(0, i)
         texts = list(self.number)
-        last = self.ids[-2:]
-        if -1 in last:
-            last = last[last.index(-1) + 1 :] if last[-1] != -1 else []
         out.ids = [out.number[texts[i]] for i in last]
         out.carried = len(out.ids)
         return out
@@ -121,25 +134,28 @@ def slices(text: bytes, size: int) -> Iterator[bytes]:
     yield text[start:]
 
 
-def counted(batches: Iterator[pd.DataFrame], length: int, size: int, admit) -> Iterator[pd.DataFrame]:
-    """(lang, phrase, f): counts of a task's phrases, slice by slice. `admit(words, lang)` tells which phrases to emit."""
+def counted(batches: Iterator[pa.RecordBatch], length: int, size: int, admit) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, f): counts of a task's phrases, slice by slice. `admit(words, lang)` tells which words to keep and
+    which pairs are open."""
     held: dict[str, Words] = defaultdict(Words)
 
-    def out(lang: str) -> Iterator[pd.DataFrame]:
+    def out(lang: str) -> Iterator[pa.RecordBatch]:
         words = held[lang]
         texts = list(words.number)
-        keep_words, keep_phrases = admit(texts, lang)
-        rows, f = words.counts(length, keep_words)
-        if keep_phrases and len(rows):
-            fine = keep_phrases(rows)
-            rows, f = rows[fine], f[fine]
+        rows, f = words.counts(length, *admit(texts, lang))
+        texts = pa.array(texts, pa.binary())
         for start in range(0, len(rows), FRAME):
-            phrases = [b" ".join([texts[i] for i in row]) for row in rows[start : start + FRAME].tolist()]
-            yield pd.DataFrame({"lang": lang, "phrase": phrases, "f": f[start : start + FRAME]})
+            part = rows[start : start + FRAME]
+            phrases = [texts.take(pa.array(part[:, i])) for i in range(length)]
+            if length > 1:
+                phrases = [pc.binary_join_element_wise(*phrases, pa.scalar(b" ", pa.binary()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang), len(part)), *phrases, pa.array(f[start : start + FRAME], pa.int64())], ["lang", "phrase", "f"]
+            )
 
     for batch in batches:
-        for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            for part in slices(text.translate(TABLE), size):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+            for part in slices(text.as_py().translate(TABLE), size):
                 held[lang].add(part)
                 if held[lang].size >= size:
                     yield from out(lang)
@@ -153,35 +169,48 @@ def counted(batches: Iterator[pd.DataFrame], length: int, size: int, admit) -> I
         yield from out(lang)
 
 
-def key_bytes(lang: str, phrase: bytes) -> bytes:
-    return lang.encode() + b"\t" + phrase
+def word_hashes(texts: list[bytes], lang: str) -> np.ndarray:
+    """A hash of each (lang, word), as `word_hash` has it."""
+    before = lang.encode() + b"\t"
+    return np.fromiter((xxhash.xxh64_intdigest(before + w, 42) for w in texts), np.uint64, len(texts))
+
+
+def pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The bits of (lang, pair) from the hashes of its words, as `pair_bit` has it."""
+    return ((first ^ (second >> np.uint64(BITS))) & np.uint64(MASK)).astype(np.int64)
+
 
+def word_hash(word: Column) -> Column:
+    return F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b"\t"), word.cast("binary")))
 
-def phrase_bit() -> Column:
-    """The bit of a (lang, phrase), as `key_bytes` has it."""
-    return bit_of(F.concat(F.col("lang").cast("binary"), F.lit(b"\t"), F.col("phrase").cast("binary")))
+
+def word_bit() -> Column:
+    """The bit of (lang, phrase) for a phrase of one word: the lowest BITS of its hash."""
+    return word_hash(F.col("phrase")).bitwiseAND(F.lit(MASK))
+
+
+def pair_bit() -> Column:
+    """The bit of (lang, phrase) for a phrase of two words: the lowest BITS of the first one's hash and the next
+    ones of the second one's, so that tasks hash words and no pairs."""
+    x, y = (word_hash(F.substring_index("phrase", " ", n)) for n in (1, -1))
+    return x.bitwiseXOR(F.shiftrightunsigned(y, BITS)).bitwiseAND(F.lit(MASK))
 
 
 def count_phrases(texts: DataFrame, length: int, words: Broadcast | None = None, pairs: Broadcast | None = None, size: int = SLICE) -> DataFrame:
     """(lang, phrase, f) over all texts: phrases whose words, and one of whose two-word parts, pass the bitmaps."""
 
     def admit(texts: list[bytes], lang: str):
-        allowed = None
-        if words is not None:
-            allowed = np.fromiter((passes(words.value, key_bytes(lang, w)) for w in texts), bool, len(texts))
-
-        def opened(rows: np.ndarray) -> np.ndarray:
-            base = len(texts)
-            both = [rows[:, i] * base + rows[:, i + 1] for i in (0, 1)]
-            distinct = np.unique(np.concatenate(both))
-            fine = np.fromiter(
-                (passes(pairs.value, key_bytes(lang, texts[c // base] + b" " + texts[c % base])) for c in distinct.tolist()), bool, len(distinct)
-            )
-            return np.logical_or(*[fine[np.searchsorted(distinct, b)] for b in both])
+        if words is None:
+            return None, None
+        hashes = word_hashes(texts, lang)
+        kept = passing(words.value, (hashes & np.uint64(MASK)).astype(np.int64))
+
+        def opened(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+            return passing(pairs.value, pair_bits(hashes[first], hashes[second]))
 
-        return allowed, opened if pairs is not None else None
+        return kept, opened if pairs is not None else None
 
-    rows = texts.mapInPandas(lambda batches: counted(batches, length, size, admit), COUNTED)
+    rows = texts.mapInArrow(lambda batches: counted(batches, length, size, admit), COUNTED)
     # a slice's phrase is a whole string of the text, so it is valid text
     return rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f"))
 
@@ -201,7 +230,7 @@ def reaching(rows: DataFrame, value: str, count: Column) -> DataFrame:
 
 def pairs_of(words: DataFrame, texts: DataFrame, fewest: int, size: int) -> DataFrame:
     """(lang, phrase, a, l, r, score, bound) of all two-word candidates."""
-    known = bitmap(words, phrase_bit())
+    known = bitmap(words, word_bit())
     counts = count_phrases(texts, 2, known, size=size).where(F.col("f") >= fewest)
     held = staged(counts.withColumns({
         "x": F.substring_index("phrase", " ", 1), "y": F.substring_index("phrase", " ", -1),
@@ -245,7 +274,7 @@ def collocations(
     every = staged(count_phrases(texts, 1, size=size), "words")
     totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
     words = staged(every.where(F.col("f") >= fewest), "frequent-words")
-    known = bitmap(words, phrase_bit())
+    known = bitmap(words, word_bit())
     pairs = staged(pairs_of(words, texts, fewest, size), "pair-scores")
     opened, settled, triples, number, want = None, None, None, 0, wave
     while True:
@@ -269,7 +298,7 @@ def collocations(
             continue
         opened = fresh if opened is None else staged(opened.unionByName(fresh), "all-opened")
         marked = staged(pairs.join(opened, ["lang", "phrase"], "left"), "marked-pairs")
-        filter_ = bitmap(fresh, phrase_bit())
+        filter_ = bitmap(fresh, pair_bit())
         counts = staged(count_phrases(texts, 3, known, filter_, size).where(F.col("f") >= fewest), "triples")
         # a phrase with a part opened before has been counted then
         grown = triples_of(counts, marked, words).where(F.col("wave") == number).drop("wave", "head_wave")

@@ -7,7 +7,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from saldo.llm import bbit_minhash, bitmap, collocations, hard_negatives
@@ -89,6 +91,33 @@ def test_op11_slices_carry_words_over():
     assert got == want
 
 
+class LocalTexts:
+    """Texts whose tasks run in this process."""
+
+    def __init__(self, spark, texts):
+        self.spark, self.batch = spark, pa.RecordBatch.from_pylist([{"lang": "en", "text": t.encode()} for t in texts])
+
+    def mapInArrow(self, work, schema):
+        return self.spark.createDataFrame(pa.Table.from_batches(work(iter([self.batch]))))
+
+
+def test_op11_hashes_words_and_no_pairs(spark, monkeypatch):
+    """A slice's distinct words are hashed once each, whatever the number of its pairs; what the bitmaps hold still passes."""
+    rnd = random.Random(2)
+    names = [f"wé{i}" for i in range(200)]
+    text = rnd.choices(names, k=6000)
+    kept, opened = set(names[:150]), {(names[i], names[j]) for i in range(0, 150, 3) for j in range(0, 150, 5)}
+    words = spark.createDataFrame([("en", w) for w in kept], "lang string, phrase string")
+    pairs = spark.createDataFrame([("en", " ".join(p)) for p in opened], "lang string, phrase string")
+    known, filter_ = bitmap.bitmap(words, collocations.word_bit()), bitmap.bitmap(pairs, collocations.pair_bit())
+    calls, plain = [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda *a: (calls.append(1), plain(*a))[1])
+    found = collocations.count_phrases(LocalTexts(spark, ["  ".join(text)]), 3, known, filter_)
+    want = Counter(t for t in zip(text, text[1:], text[2:], strict=False) if kept.issuperset(t) and (t[:2] in opened or t[1:] in opened))
+    assert {tuple(r["phrase"].split(" ")): r["f"] for r in found.collect()} == want and len(want) > 100
+    assert len(calls) <= 2 + len(names)
+
+
 # op12
 
 
