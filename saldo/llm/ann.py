@@ -14,8 +14,10 @@ Norms: largest inner products are not nearest directions when norms differ. The
 similar norm, the largest at most RATIO times the least, so a few long vectors get a block of their own. Inside
 a block each vector gets one more coordinate that lifts it to the block's largest norm.
 
-Scale: the index is cut into blocks of at most BLOCK vectors and the queries into blocks of QUERIES; each pair of
-blocks is one task's work and returns k rows a query. No task holds more than one pair. A query set that
+Scale: the index is cut into blocks of at most BLOCK vectors and BLOCK_BYTES, and the queries into groups of about
+GROUP, or down to LEAST where that leaves under TILES pairs. A pair of a block and a group is one task's work and returns
+k rows a query. A block travels in parts of PART_BYTES, once to each group, and a group's queries follow in packs of
+QUERIES, so a row is never as large as a block, and a task holds one block, its codes and one batch. A query set that
 grows with the table, against all its rows, is quadratic in the number of blocks; how many vectors
 are ranked depends on how well the data separate at the radius.
 
@@ -48,7 +50,13 @@ ASKED = 256
 RATIO = 1.25
 BITS = 16
 BLOCK = 32768
+BLOCK_BYTES = 16 << 20
+PART_BYTES = 1 << 19
+GROUP, LEAST = 4096, 256
 QUERIES = 512
+TILES = 24
+DEALT = 4096
+SLICE = 2048
 ROUNDS = 15
 COUNT = np.array([bin(i).count("1") for i in range(1 << BITS)], np.uint8)
 
@@ -62,10 +70,13 @@ class Codes:
     radius: int
 
     def of(self, vectors: np.ndarray, longest: float) -> np.ndarray:
-        """Substrings (rows x substrings) of vectors, lifted to the longest norm."""
-        unit = vectors / (longest or 1.0)
-        rest = np.sqrt(np.maximum(0.0, 1.0 - np.square(unit).sum(axis=1)))
-        return pack_bits(unit @ self.rotation + rest[:, None] * self.lift > 0)
+        """Substrings (rows x substrings) of vectors, lifted to the longest norm, SLICE rows at a time."""
+        out = np.zeros((len(vectors), self.rotation.shape[1] // BITS), np.uint16)
+        for rows in slices(len(vectors)):
+            unit = vectors[rows] / (longest or 1.0)
+            rest = np.sqrt(np.maximum(0.0, 1.0 - np.square(unit).sum(axis=1)))
+            out[rows] = pack_bits(unit @ self.rotation + rest[:, None] * self.lift > 0)
+        return out
 
     def of_queries(self, vectors: np.ndarray) -> np.ndarray:
         return pack_bits(vectors @ self.rotation > 0)
@@ -75,6 +86,10 @@ def pack_bits(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.uint16)
 
 
+def slices(rows: int) -> Iterator[slice]:
+    return (slice(start, start + SLICE) for start in range(0, rows, SLICE))
+
+
 def learn(sample: np.ndarray, k: int, blocks: int) -> Codes:
     """Rotations by iterative quantization, and the least radius from the sample's own neighbours."""
     rng, unit = np.random.default_rng(7), sample / np.linalg.norm(sample, axis=1, keepdims=True)
@@ -115,12 +130,15 @@ def bands(rows: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
 
 def lifted(codes: Codes, vectors: np.ndarray) -> np.ndarray:
     """The codes of a block."""
-    return codes.of(vectors, np.sqrt(np.square(vectors).sum(axis=1).max()))
+    return codes.of(vectors, np.sqrt(max(np.square(vectors[rows]).sum(axis=1).max() for rows in slices(len(vectors)))))
 
 
-def radius_of(codes: Codes, ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: np.ndarray, k: int) -> int:
-    """The radius that covers COVER of the k nearest which the asked vectors have in a block, `codes.radius` at least."""
-    own, far = lifted(codes, vectors), []
+def radius_of(
+    codes: Codes, own: np.ndarray, ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: np.ndarray, k: int
+) -> int:
+    """The radius that covers COVER of the k nearest which the asked vectors have in a block with the codes `own`,
+    `codes.radius` at least."""
+    far = []
     for query_id, query, code in zip(asked_ids, asked, codes.of_queries(asked), strict=True):
         near = vectors @ query
         near[ids == query_id] = -np.inf
@@ -132,11 +150,10 @@ def radius_of(codes: Codes, ids: np.ndarray, vectors: np.ndarray, asked_ids: np.
 
 
 class Index:
-    """One block of vectors: the rows of each value of each substring."""
+    """One block of vectors and their codes: the rows of each value of each substring."""
 
-    def __init__(self, codes: Codes, ids: np.ndarray, vectors: np.ndarray, radius: int) -> None:
-        self.ids, self.vectors, self.radius = ids, vectors, radius
-        self.code = lifted(codes, vectors)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, code: np.ndarray, radius: int) -> None:
+        self.ids, self.vectors, self.code, self.radius = ids, vectors, code, radius
         self.words = np.ascontiguousarray(np.pad(self.code, ((0, 0), (0, -self.code.shape[1] % 4)))).view(np.uint64)
         self.listed = []
         for column in self.code.T:
@@ -174,7 +191,9 @@ class Index:
         rows = rows[self.ids[rows] != query_id]
         if len(rows) < k:
             rows = np.flatnonzero(self.ids != query_id)
-        score = np.multiply(self.vectors[rows], query).sum(axis=1)
+        score = np.zeros(len(rows))
+        for part in slices(len(rows)):
+            score[part] = np.multiply(self.vectors[rows[part]], query).sum(axis=1)
         if len(rows) > k:  # all that reach the k-th score
             top = np.flatnonzero(score >= np.partition(score, -k)[-k])
             rows, score = rows[top], score[top]
@@ -188,34 +207,27 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def packed(size: int, ratio: float = np.inf):
-    """Rows packed into blocks of `size` vectors. With a ratio, rows come in the order of their norms and a
-    block ends before a norm over `ratio` times its first."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, ids, vectors, most = TaskContext.get().partitionId() << 32, [], [], np.inf
-
-        def block():
-            nonlocal number, ids, vectors
-            row = (number, np.array(ids, np.int64).tobytes(), np.stack(vectors).astype(np.float64).tobytes())
-            number, ids, vectors = number + 1, [], []
-            return pd.DataFrame([row], columns=["block", "ids", "vectors"])
-
-        for batch in batches:
-            for i, v in zip(batch["vec_id"], batch["v"], strict=True):
+def packed(batches: Iterator[pd.DataFrame], size: int, ratio: float = np.inf) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(number, group, ids, vectors) of rows packed into blocks of at most `size` vectors of one group `g`. With a
+    ratio, rows come in the order of their norms and a block ends before a norm over `ratio` times its first. The
+    arrays are filled anew for the next block."""
+    number, n, group, norm, most = TaskContext.get().partitionId() << 32, 0, 0, 0.0, np.inf
+    ids, vectors = np.zeros(size, np.int64), np.zeros((0, 0))
+    for batch in batches:
+        for g, i, v in zip(batch["g"], batch["vec_id"], batch["v"], strict=True):
+            if not len(vectors):
+                vectors = np.zeros((size, len(v)))
+            if ratio < np.inf:
                 norm = np.linalg.norm(v)
-                if ids and norm > most:
-                    yield block()
-                if not ids:
-                    most = ratio * norm if ratio < np.inf else ratio
-                ids.append(i)
-                vectors.append(np.asarray(v))
-                if len(ids) >= size:
-                    yield block()
-        if ids:
-            yield block()
-
-    return pack
+            if n and (n == size or g != group or norm > most):
+                yield number, group, ids[:n], vectors[:n]
+                number, n = number + 1, 0
+            if not n:
+                group, most = g, ratio * norm if ratio < np.inf else ratio
+            ids[n], vectors[n] = i, v
+            n += 1
+    if n:
+        yield number, group, ids[:n], vectors[:n]
 
 
 def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
@@ -231,6 +243,8 @@ def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sampl
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     once = once.where(F.size("v") == sizes["n"])
     drawn = once.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec_id", "v").collect()
+    wide = 8 * max(1, sizes["n"])  # bytes of a vector
+    block, part_rows = max(1, min(block, BLOCK_BYTES // wide)), max(1, PART_BYTES // wide)
     blocks = max(1, ceil(sizes["c"] / block))
     shared = spark.sparkContext.broadcast(learn(np.array([r["v"] for r in drawn]), k, blocks))
     first = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in drawn[:ASKED]]), np.array([r["v"] for r in drawn[:ASKED]])))
@@ -240,30 +254,51 @@ def search(vectors: DataFrame, wanted: Column, k: int, block: int = BLOCK, sampl
     ordered = ordered.sortWithinPartitions(norm, F.xxhash64("vec_id"), "vec_id")
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for out in packed(block, RATIO)(batches):
-            ids, vectors = np.frombuffer(out["ids"][0], np.int64), np.frombuffer(out["vectors"][0])
-            yield out.assign(radius=radius_of(shared.value, ids, vectors.reshape(len(ids), -1), *first.value, k))
-
-    index = staged(ordered.mapInPandas(measured, "block long, ids binary, vectors binary, radius int"), "index-blocks")
+        for number, _, ids, vectors in packed(batches, block, RATIO):
+            own = lifted(shared.value, vectors)
+            radius = radius_of(shared.value, own, ids, vectors, *first.value, k)
+            for part, start in enumerate(range(0, len(ids), part_rows)):
+                body = [x[start : start + part_rows].tobytes() for x in (ids, vectors, own)]
+                yield pd.DataFrame([(number, part, *body, radius)], columns=["block", "part", "ids", "vectors", "codes", "radius"])
+
+    parted = "block long, part long, ids binary, vectors binary, codes binary, radius int"
+    index = staged(ordered.withColumn("g", F.lit(0)).mapInPandas(measured, parted), "index-blocks")
+    left = [r["block"] for r in index.select("block").distinct().collect()]
     asked = once.where(wanted)
-    groups = max(1, ceil(sizes["c"] / QUERIES))
-    numbered = asked.withColumn("g", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)))
+    asks = asked.count()
+    groups = max(1, ceil(asks / GROUP), min(ceil(asks / LEAST), ceil(TILES / len(left))))
+
+    def bundled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, group, ids, vectors in packed(batches, QUERIES):
+            yield pd.DataFrame([(group, number, ids.tobytes(), vectors.tobytes())], columns=["g", "part", "ids", "vectors"])
+
+    numbered = asked.select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int").alias("g"), "vec_id", "v")
     queries = staged(
-        numbered.repartition("g").select("vec_id", "v").mapInPandas(packed(QUERIES), "block long, ids binary, vectors binary"),
+        numbered.repartition("g").sortWithinPartitions("g").mapInPandas(bundled, "g int, part long, ids binary, vectors binary"),
         "query-blocks",
     )
-    left, right = [r["block"] for r in index.select("block").collect()], queries.select("block")
-    pairs = right.withColumn("index", F.explode(F.array(*[F.lit(x) for x in left]))) if left else None
-    tiles = pairs.join(index.withColumnRenamed("block", "index"), "index").join(
-        queries.select("block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")), "block"
-    )
+    spread = index.withColumns({"g": F.explode(F.sequence(F.lit(0), F.lit(groups - 1))), "asks": F.lit(False)})
+    asking = queries.withColumns({"block": F.explode(F.array(*[F.lit(x) for x in left]).cast("array<long>")), "asks": F.lit(True)})
+    # more partitions than tiles, as some get none; a group's queries come after the parts of the block
+    dealt = min(4 * groups * len(left), max(DEALT, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tiles = spread.unionByName(asking, allowMissingColumns=True).repartition(dealt, "block", "g")
+    tiles = tiles.sortWithinPartitions("block", "g", "asks", "part")
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tile, held, index = None, [], None
         for batch in batches:
             for row in batch.itertuples():
-                ids, q_ids = np.frombuffer(row.ids, np.int64), np.frombuffer(row.q_ids, np.int64)
-                index = Index(shared.value, ids, np.frombuffer(row.vectors).reshape(len(ids), -1), row.radius)
-                asked = np.frombuffer(row.q_vectors).reshape(len(q_ids), -1)
+                if tile != (row.block, row.g):
+                    tile, held, index = (row.block, row.g), [], None
+                if not row.asks:
+                    held.append((row.ids, row.vectors, row.codes, row.radius))
+                    continue
+                if index is None:
+                    *body, radius = zip(*held, strict=True)
+                    ids, vectors, own = (np.frombuffer(b"".join(x), kind) for x, kind in zip(body, (np.int64, np.float64, np.uint16), strict=True))
+                    index, held, body = Index(ids, vectors.reshape(len(ids), -1), own.reshape(len(ids), -1), int(radius[0])), [], None
+                q_ids = np.frombuffer(row.ids, np.int64)
+                asked = np.frombuffer(row.vectors).reshape(len(q_ids), -1)
                 out = []
                 for q, v, code in zip(q_ids, asked, shared.value.of_queries(asked), strict=True):
                     found, score = index.nearest(q, v, code, k)
