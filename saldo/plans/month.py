@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.functions.dates import Period
-from saldo.operators.guards import counted, rows_seen
+from saldo.operators.guards import counted, dimension, rows_seen
 from saldo.operators.reload import PERIOD_KEYS, overwrite_partitions, reload_period
 from saldo.plans.buffer import (
-    BOOK_COLUMNS, GROUPED_COLUMNS, TYPES, UNGROUPED_COLUMNS, TaxBuffer, advance_wraps,
+    BOOK_COLUMNS, DIMENSIONS, GROUPED_COLUMNS, TYPES, UNGROUPED_COLUMNS, TaxBuffer, advance_wraps,
     operations_buffer,
 )
 from saldo.plans.postings import stored_schema
@@ -70,8 +70,8 @@ def run_buffer_steps(spark: SparkSession, tables: Tables, out: str, period: Peri
             reload_period(seen, f"{out}/{name}", period, names)
             rows[name] = rows_seen(observation)
 
-        for name in ("plan", "customers"):
-            run.stored[name] = staged(getattr(run, f"_{name}")(), name)
+        for name in DIMENSIONS:
+            run.stored[name] = dimension(getattr(run, f"_{name}")(), name)
         buffer = operations_buffer(tables, period).filter(in_scope)
         reload(BUFFER, buffer)
         run.stored["buffer"] = spark.read.schema(buffer.schema).parquet(f"{out}/{BUFFER}").filter(in_scope)
