@@ -67,3 +67,10 @@ def test_a_run_does_not_broadcast_a_large_chart(spark, tables, limit):
         F.col("id").cast("string").alias("acc"), F.lit("31").alias("master"), F.lit(1994).alias("year_v")
     )
     assert "BroadcastHashJoin" not in physical(facts.join(run.plan, ["master", "year_v", "acc"]))
+
+
+def test_sets_look_smaller_than_the_accounts_they_pick(spark, tables, limit):
+    """Else the write-off accounts, some millions of a large chart, are broadcast to the sets of five companies."""
+    run = TaxBuffer(ChainMap({"plan_schetov": accounts(spark, 40)}, tables))
+    assert estimate(run.sets) < 64 << 10
+    assert run.sets.count() == tables["company_main"].count() > 0
